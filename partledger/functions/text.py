@@ -89,4 +89,4 @@ def short_label(name: Column, length: int = 12) -> Column:
 
 def percent_text(share: Column, missing: str = "N/A") -> Column:
     """``0.1234`` as ``12.34%``."""
-    return F.coalesce(F.concat(F.format_string("%.2f", share * 100), F.lit("%")), F.lit(missing))
+    return F.when(share.isNull(), F.lit(missing)).otherwise(F.format_string("%.2f%%", share * 100))
