@@ -25,16 +25,18 @@ PART_SYNONYMS = {
     "dr": "door",
 }
 
+# The characters that count as white space at the ends of a text.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
 
 def clean_text(text: Column) -> Column:
     """Lower case, ASCII letters and digits only, single blanks; null becomes the empty string."""
-    kept = F.regexp_replace(F.lower(text), r"[^a-z0-9\s]", " ")
-    return F.coalesce(F.trim(F.regexp_replace(kept, r"\s+", " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ")), F.lit(""))
 
 
 def strip_space(text: Column) -> Column:
-    """Drop white space of any kind at both ends (``trim`` drops blanks only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Drop white space of any kind at both ends (plain ``trim`` drops blanks only)."""
+    return F.trim(text, F.lit(WHITE_SPACE))
 
 
 def normalise_key(key: Column) -> Column:

@@ -12,13 +12,17 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 BLOCK_ROWS = 2048
 
 
+def parallelism(spark: SparkSession) -> int:
+    return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def block_join(
     left: DataFrame,
     right: DataFrame,
@@ -48,7 +52,10 @@ def block_join(
             .drop("l_blocks", "r_blocks")
         )
     keys = ["cell", "l_block", "r_block"]
-    grouped = [df.toDF(*df.columns).groupBy(*keys) for df in numbered]  # fresh columns: sides may share lineage
+    # Comparing costs far more than the bytes shuffled, so the number of tasks is fixed here: adaptive merging of
+    # small partitions would leave most cores idle. Renaming gives fresh columns; the sides may share lineage.
+    tasks = 4 * parallelism(left.sparkSession)
+    grouped = [df.toDF(*df.columns).repartition(tasks, *keys).groupBy(*keys) for df in numbered]
 
     arrow = to_arrow_schema(StructType.fromDDL(schema))
     names = [c.split(" ")[0] for c in schema.split(", ")]

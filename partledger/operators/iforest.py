@@ -14,8 +14,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from partledger.config import DEFAULTS, FEATURES, TRUTH
-from partledger.operators.ordering import exact_quantile, hash_order
+from partledger.operators.blocks import parallelism
+from partledger.operators.ordering import exact_quantile, hash_sample
 from partledger.operators.sampling import Scaler, apply_scaler, fit_scaler
+from partledger.session import checkpointed
 
 NODES = "tree int, node int, feature int, split double, left int, right int, path double"
 
@@ -88,14 +90,12 @@ def fit(
         raise ValueError("no rows to fit an isolation forest on")
     sample = min(sample, rows)
     pool_size = min(rows, trees * sample)
-    order = hash_order(F.col(key), seed)
-    pool = (
-        scaled.withColumn("_order", order)
-        .orderBy("_order")
-        .limit(pool_size)  # at most trees * sample rows
-        .withColumn("place", F.row_number().over(Window.orderBy("_order")) - 1)
-        .drop("_order", key)
+    pool = checkpointed(
+        hash_sample(scaled, F.col(key), pool_size, rows, seed)  # at most trees * sample rows
+        .withColumn("place", F.row_number().over(Window.orderBy(key)) - 1)
+        .drop(key)
     )
+    pool_size = pool.count()
     spark = df.sparkSession
     draws = spark.range(trees * sample).select(
         (F.col("id") / sample).cast("int").alias("tree"),
@@ -105,6 +105,7 @@ def fit(
     depth_limit = int(np.ceil(np.log2(max(sample, 2))))
     nodes = (
         draws.join(pool, "place")
+        .repartition(min(trees, parallelism(spark)), "tree")
         .groupBy("tree")
         .applyInPandas(_grow(features, depth_limit, seed), NODES)
         .toPandas()

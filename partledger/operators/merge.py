@@ -15,6 +15,7 @@ from partledger.config import DEFAULTS
 from partledger.functions.columns import resolve_column
 from partledger.functions.text import clean_text, normalise_key
 from partledger.operators.ordering import exact_quantile, hash_totals
+from partledger.session import checkpointed
 
 FANOUT = "fanout"
 
@@ -98,8 +99,11 @@ def filter_amount_cap(df: DataFrame, amount: str | None = None, weight: str | No
 
 
 def claim_rows(surveyor: DataFrame, garage: DataFrame, amount: str = DEFAULTS.amount) -> DataFrame:
-    """The usual input of features, baskets and similarity: matched, capped survey rows with ``fanout``."""
-    return filter_amount_cap(matched_survey(surveyor, garage), amount, FANOUT)
+    """The usual input of features, baskets and similarity: matched, capped survey rows with ``fanout``.
+
+    The join runs once and is stored; the cap is then found and applied on the stored rows.
+    """
+    return filter_amount_cap(checkpointed(matched_survey(surveyor, garage)), amount, FANOUT)
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int = DEFAULTS.seed) -> DataFrame:

@@ -18,7 +18,7 @@ from partledger.session import checkpointed
 
 MAX_RANGES = 4096  # the offset table has at most this many rows per group
 HASH_BITS = 12  # hash ranks use 2**12 ranges; md5 is uniform, so they are even
-SMALL_ROWS = 200_000  # a table of at most this many rows may be ordered by one task
+SMALL_ROWS = 1_000_000  # a table of at most this many rows may be ordered by one task
 
 
 def _offsets(ranged: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -149,3 +149,16 @@ def hash_rank(
     """Number the rows 1, 2, … inside each ``by`` group in hash order of a unique ``key``."""
     counted = df.withColumn("_one", F.lit(1).cast("long"))
     return hash_totals(counted, key, "_one", by, seed, name).drop("_one")
+
+
+def hash_sample(df: DataFrame, key: Column, size: int, rows: int, seed: int | str = "") -> DataFrame:
+    """Up to ``size`` of ``rows`` rows, those first in hash order of a unique ``key``.
+
+    A filter on the hash keeps little more than ``size`` rows before they are ordered. ``size`` has to be small.
+    """
+    order = hash_order(key, seed)
+    if rows > size:
+        share = (size + 6 * math.sqrt(size) + 64) / rows  # six standard deviations of spare
+        place = F.conv(F.substring(order, 1, 13), 16, 10).cast("double") / float(2**52)
+        df = df.where(place < share)
+    return df.withColumn("_order", order).orderBy("_order").limit(size).drop("_order")

@@ -12,11 +12,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from partledger.config import DEFAULTS
 from partledger.functions.numbers import rounded
 from partledger.operators.blocks import block_join, matrix
+from partledger.operators.ordering import hash_sample
 from partledger.session import checkpointed
 
 MAX_GRAM_PARTS = 2048  # up to here the part-by-part matrix is formed; beyond, subspace iteration
 EXTRA_DIRECTIONS = 10
 CELL_ROWS = 4096
+PIVOT_ROWS = 1024
 MAX_CELLS = 4096
 
 
@@ -122,15 +124,17 @@ def _gram_directions(inter: DataFrame, scales: DataFrame, claims: int, rank: int
     )
 
     def partial(batches):
-        gram = np.zeros((width, width))
+        gram = np.zeros(width * width)
         for batch in batches:
-            for start in range(0, len(batch), 1024):
-                chunk = batch.iloc[start : start + 1024]
-                dense = np.zeros((len(chunk), width))
-                line = np.repeat(np.arange(len(chunk)), chunk["place"].map(len))
-                dense[line, np.concatenate(chunk["place"].to_numpy())] = np.concatenate(chunk["x"].to_numpy())
-                gram += dense.T @ dense
-        yield pd.DataFrame({"place": np.arange(width), "line": list(gram)})
+            sizes = batch["place"].map(len)
+            for size, same in batch.groupby(sizes):
+                place, x = np.stack(same["place"]).astype(np.int64), np.stack(same["x"])
+                step = max(1, 4_000_000 // (size * size))
+                for start in range(0, len(same), step):
+                    p, v = place[start : start + step], x[start : start + step]
+                    cell = (p[:, :, None] * width + p[:, None, :]).ravel()
+                    gram += np.bincount(cell, (v[:, :, None] * v[:, None, :]).ravel(), width * width)
+        yield pd.DataFrame({"place": np.arange(width), "line": list(gram.reshape(width, width))})
 
     def add(lines: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"place": lines["place"].iloc[:1], "line": [np.sum(np.stack(lines["line"]), axis=0)]})
@@ -235,13 +239,21 @@ def _stack(vectors: pd.Series) -> np.ndarray:
 
 
 def _nearest(n: int):
-    """Kernel: the n best right rows per left row by (cosine at 9 places, then id)."""
+    """Kernel: the n best right rows per left row by (cosine at 9 places, then id).
+
+    Left rows with a ``floor`` get every right row that reaches it instead; after a first search those are few,
+    since at most n rows lie above the floor and equal rows have been reduced to n.
+    """
 
     def kernel(left: pa.Table, right: pa.Table) -> pd.DataFrame:
         right = right.sort_by("id")
         queries, ids = left["query"].to_pandas().to_numpy(), right["id"].to_pandas().to_numpy()
         keep = min(n, len(ids))
         sims = matrix(left["unit"]) @ matrix(right["unit"]).T
+        if "floor" in left.column_names:  # only hits that can still enter the list
+            row, at = np.nonzero(sims >= (left["floor"].to_numpy()[:, None] - 1) / 1e9)
+            points = np.rint(sims[row, at] * 1e9).astype(np.int64)
+            return pd.DataFrame({"query": queries[row], "other": ids[at], "points": points})
         last = np.partition(sims, len(ids) - keep, axis=1)[:, len(ids) - keep]
         row, at = np.nonzero(sims >= last[:, None] - 2e-9)
         if len(row) > 4 * keep * len(queries):  # many equal cosines: pick by id here
@@ -266,7 +278,8 @@ def top_similar(vectors: DataFrame, n: int = DEFAULTS.top_n, cell_rows: int = CE
 
     * Equal vectors are compared once. Of many copies only the n+1 smallest ids can be anybody's neighbours.
     * Vectors are grouped around a bounded number of pivots. A row first searches its own group; the distance
-      to its n-th hit and the triangle inequality then tell which other groups can still hold a better one.
+      to its n-th hit then tells which other groups can still hold a better one: those whose ball around the
+      pivot, and whose side of the plane half-way to the own pivot, come near enough.
     """
     points = checkpointed(vectors.select(F.col("claim_id").alias("id"), unit_vector(F.col("vec")).alias("unit")))
     copy = Window.partitionBy("unit").orderBy("id")
@@ -281,7 +294,7 @@ def top_similar(vectors: DataFrame, n: int = DEFAULTS.top_n, cell_rows: int = CE
             queries.withColumn("cell", F.lit(0)), data.withColumn("cell", F.lit(0)), "query", "id", _nearest(keep), schema
         )
     else:
-        found = _pivot_search(queries, data, keep, min(MAX_CELLS, int(rows**0.5)), schema)
+        found = _pivot_search(queries, data, keep, min(MAX_CELLS, max(2, rows // PIVOT_ROWS)), schema)
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("points")).alias("lost"), "other"))).alias("hits")
     hits = _best(found, keep).groupBy("query").agg(ordered).join(queries, "query")
     others = F.slice(F.filter("hits", lambda h: h["other"] != F.col("id")), 1, n)
@@ -297,10 +310,12 @@ def top_similar(vectors: DataFrame, n: int = DEFAULTS.top_n, cell_rows: int = CE
 
 
 def _pivot_search(queries: DataFrame, data: DataFrame, keep: int, cells: int, schema: str) -> DataFrame:
-    zero = cells  # zero vectors have cosine 0 with everything; they form a cell that everyone visits
     nonzero = data.where(F.exists("unit", lambda x: x != 0))
-    chosen = nonzero.orderBy(F.xxhash64("id"), "id").limit(cells).select("unit").toPandas()  # bounded by MAX_CELLS
+    chosen = hash_sample(nonzero, F.col("id"), cells, nonzero.count()).select("unit").toPandas()  # at most MAX_CELLS
     pivots = _stack(chosen["unit"])
+    cells = len(pivots)
+    zero = cells  # zero vectors have cosine 0 with everything; they form a cell that everyone visits
+    apart = np.sqrt(np.maximum(2.0 - 2.0 * pivots @ pivots.T, 1e-12))
 
     def distances(units: pd.Series) -> np.ndarray:
         return np.sqrt(np.maximum(2.0 - 2.0 * (_stack(units) @ pivots.T), 0.0))
@@ -327,15 +342,18 @@ def _pivot_search(queries: DataFrame, data: DataFrame, keep: int, cells: int, sc
     @F.pandas_udf("array<int>")
     def reachable(units: pd.Series, own: pd.Series, points: pd.Series) -> pd.Series:
         limit = np.sqrt(np.maximum(2.0 - 2.0 * (points.fillna(-1e9).to_numpy(dtype=float) - 2) / 1e9, 0.0)) + 1e-7
-        far = np.column_stack([distances(units), np.zeros(len(units))])
-        bound = far - radius[None, :]
+        far, mine = distances(units), np.minimum(own.to_numpy(), cells - 1)
+        ball = far - radius[None, :cells]
+        plane = (far**2 - far[np.arange(len(far)), mine][:, None] ** 2) / (2.0 * apart[mine])
+        bound = np.column_stack([np.maximum(ball, plane), np.full(len(far), -radius[zero])])
         bound[~_stack(units).any(axis=1)] = -np.inf
         visit = (bound <= limit[:, None]) & (radius > -np.inf)[None, :]
         visit[np.arange(len(units)), own.to_numpy()] = False
         return pd.Series([np.flatnonzero(v).astype(np.int32) for v in visit])
 
+    floor = F.coalesce("points", F.lit(-2_000_000_000)).alias("floor")
     probes = at_home.join(last, "query", "left").select(
-        "query", "unit", F.explode(reachable("unit", "cell", "points")).alias("cell")
+        "query", "unit", floor, F.explode(reachable("unit", "cell", "points")).alias("cell")
     )
     more = block_join(probes, placed, "query", "id", _nearest(keep), schema)
     return near.select("query", "other", "points").unionByName(more)

@@ -56,7 +56,7 @@ def run(
     if sampled:
         rows, weight = merged, None
     else:  # later stages read each survey row once, with its fan-out as a weight
-        rows, weight = checkpointed(merge.claim_rows(survey, garage)), merge.FANOUT
+        rows, weight = merge.claim_rows(survey, garage), merge.FANOUT
     counts = profile.row_counts({"surveyor": survey, "garage": garage, "merged": spark.read.parquet(f"{out}/merged")})
     result.metrics["data"] = {f"{r['table_name']}_rows": r["row_count"] for r in counts.collect()}
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import cached_property
 
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from partledger.config import DEFAULTS, FEATURES
 from partledger.operators import features, forest, iforest, matching, merge, recommend, sampling
-from partledger.session import checkpointed
+from partledger.session import checkpointed, shared_folder
 from partledger.sources import views
 
 # Query-sized forest settings; the published ones (300 trees, depth 12, 5 x 3 folds) are in ``Settings``.
@@ -38,11 +37,8 @@ class Workspace:
         return views.table(self.spark, self.folder, name)
 
     def scratch(self) -> str:
-        """A new folder for files: under the shared checkpoint folder, or a temporary one in local tests."""
-        shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        if not shared and not self.spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        return f"{shared or tempfile.mkdtemp(prefix='partledger-')}/files-{uuid.uuid4().hex}"
+        """A new folder for files."""
+        return f"{shared_folder(self.spark)}/files-{uuid.uuid4().hex}"
 
     @property
     def surveyor_raw(self) -> DataFrame:
@@ -70,7 +66,7 @@ class Workspace:
 
     @cached_property
     def rows(self) -> DataFrame:
-        return checkpointed(merge.claim_rows(self.surveyor, self.garage))
+        return merge.claim_rows(self.surveyor, self.garage)
 
     @cached_property
     def features(self) -> DataFrame:
