@@ -106,7 +106,7 @@ def _shift(directions: DataFrame, rank: int) -> list[float]:
 
 
 def _gram_directions(inter: DataFrame, scales: DataFrame, claims: int, rank: int, rounds: int):
-    """Exact: partial part-by-part matrices per task, summed row by row, decomposed on the driver."""
+    """Exact: partial part-by-part matrices per task, non-zero cells summed by Spark, decomposed on the driver."""
     spark = inter.sparkSession
     table = scales.orderBy("part").toPandas()  # at most max_gram_parts rows
     width = len(table)
@@ -134,17 +134,16 @@ def _gram_directions(inter: DataFrame, scales: DataFrame, claims: int, rank: int
                     p, v = place[start : start + step], x[start : start + step]
                     cell = (p[:, :, None] * width + p[:, None, :]).ravel()
                     gram += np.bincount(cell, (v[:, :, None] * v[:, None, :]).ravel(), width * width)
-        yield pd.DataFrame({"place": np.arange(width), "line": list(gram.reshape(width, width))})
-
-    def add(lines: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"place": lines["place"].iloc[:1], "line": [np.sum(np.stack(lines["line"]), axis=0)]})
-
-    schema = "place int, line array<double>"
-    summed = rows.mapInPandas(partial, schema).groupBy("place").applyInPandas(add, schema)
-    collected = summed.toPandas().sort_values("place")
+        row, column = np.nonzero(np.triu(gram.reshape(width, width)))
+        yield pd.DataFrame({"i": row, "j": column, "x": gram[row * width + column]})
+
+    schema = "i int, j int, x double"
+    summed = rows.mapInPandas(partial, schema).groupBy("i", "j").agg(F.sum("x").alias("x")).toPandas()
+    gram = np.zeros((width, width))  # at most max_gram_parts squared
+    gram[summed["i"], summed["j"]] = summed["x"]
+    gram = np.triu(gram) + np.triu(gram, 1).T
     mean = (table["mean"] / table["std"]).to_numpy()
-    gram = np.stack(collected["line"].to_numpy()) - claims * np.outer(mean, mean)
-    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    values, vectors = np.linalg.eigh(gram - claims * np.outer(mean, mean))
     order = np.argsort(values)[::-1][:rank]
     for i in range(rank):
         table[f"v{i}"] = vectors[:, order[i]] if i < len(order) else 0.0

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from partledger.config import DEFAULTS, FEATURES, TRUTH, Settings
 from partledger.operators import baskets, evaluate, features, forest, iforest, matching, merge, profile, recommend, sampling
-from partledger.session import checkpointed
+from partledger.session import checkpointed, ship_package
 from partledger.sources import files, models
 
 
@@ -47,6 +47,7 @@ def run(
     label: str = DEFAULTS.label,
 ) -> Run:
     """Run all stages and write their tables and models under ``out``. ``grid`` turns the grid search on."""
+    ship_package(spark)
     result = Run()
     merged = merge.filter_amount_cap(merge.merge_claims(survey, garage, settings.merge_keys, require_rows=True))
     sampled = bool(settings.sample_size)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from partledger.config import DEFAULTS, FEATURES
 from partledger.operators import features, forest, iforest, matching, merge, recommend, sampling
-from partledger.session import checkpointed, shared_folder
+from partledger.session import checkpointed, shared_folder, ship_package
 from partledger.sources import views
 
 # Query-sized forest settings; the published ones (300 trees, depth 12, 5 x 3 folds) are in ``Settings``.
@@ -27,6 +27,7 @@ class Workspace:
 
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Workspace":
+        ship_package(spark)
         return cls._open.setdefault((id(spark), folder), cls(spark, folder))
 
     @classmethod

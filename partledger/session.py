@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
@@ -10,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session for tests and benchmarks; a cluster job brings its own."""
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("partledger")
         .config("spark.sql.shuffle.partitions", str(partitions))
@@ -22,6 +24,22 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application; they may not have it on their path."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="partledger-"), "partledger")
+    context.addPyFile(shutil.make_archive(archive, "zip", os.path.dirname(package), os.path.basename(package)))
+    _shipped.add(context.applicationId)
 
 
 _local_folder: str | None = None
