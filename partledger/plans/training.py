@@ -49,15 +49,16 @@ def run(
     """Run all stages and write their tables and models under ``out``. ``grid`` turns the grid search on."""
     ship_package(spark)
     result = Run()
-    merged = merge.filter_amount_cap(merge.merge_claims(survey, garage, settings.merge_keys, require_rows=True))
-    sampled = bool(settings.sample_size)
-    if sampled:
+    matched = checkpointed(merge.matched_survey(survey, garage, settings.merge_keys))
+    if matched.isEmpty():
+        raise ValueError("the merge is empty: the two tables share no claim")
+    amount = F.col(settings.amount) <= merge.amount_cap(matched, settings.amount, merge.FANOUT)
+    merged = merge.merge_claims(survey, garage, settings.merge_keys, settings.amount).where(amount)
+    rows, weight = matched.where(amount), merge.FANOUT  # later stages read each survey row once, with its fan-out
+    if settings.sample_size:
         merged = checkpointed(merge.sample_n(merged, settings.sample_size, settings.seed))
-    merged.write.mode("overwrite").parquet(f"{out}/merged")
-    if sampled:
         rows, weight = merged, None
-    else:  # later stages read each survey row once, with its fan-out as a weight
-        rows, weight = merge.claim_rows(survey, garage), merge.FANOUT
+    merged.write.mode("overwrite").parquet(f"{out}/merged")
     counts = profile.row_counts({"surveyor": survey, "garage": garage, "merged": spark.read.parquet(f"{out}/merged")})
     result.metrics["data"] = {f"{r['table_name']}_rows": r["row_count"] for r in counts.collect()}
 
