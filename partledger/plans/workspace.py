@@ -20,7 +20,7 @@ QUERY_SPLITS = 3
 
 
 class Workspace:
-    _open: dict[tuple[int, str], "Workspace"] = {}
+    _open: dict[tuple[str, str], "Workspace"] = {}
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -28,7 +28,7 @@ class Workspace:
     @classmethod
     def of(cls, spark: SparkSession, folder: str) -> "Workspace":
         ship_package(spark)
-        return cls._open.setdefault((id(spark), folder), cls(spark, folder))
+        return cls._open.setdefault((spark.sparkContext.applicationId, folder), cls(spark, folder))
 
     @classmethod
     def forget(cls) -> None:
