@@ -69,7 +69,8 @@ def _draw(key: np.ndarray, level: int) -> list[float]:
 def round_pairs(size: list[int], p: list[float], draw: list[float]) -> int:
     """Pair fractional rows, moving words between the two until one row is whole; changes ``p``.
 
-    Up or down is drawn so that each row's expected copies stay as they are; the words of the pair never change.
+    Long documents should come first: one that stays fractional is then settled by many short ones, and what is left at
+    the end is short. Up or down is drawn so that each row's expected copies stay as they are; the words of the pair never change.
     Returns the one row that is left fractional, or -1.
     """
     held = -1
@@ -100,7 +101,7 @@ def round_pairs(size: list[int], p: list[float], draw: list[float]) -> int:
 
 def _node(level: int):
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("source", "ascending"), ("key", "ascending"), ("doc_id", "ascending"), ("size", "ascending")])
+        rows = rows.sort_by([("source", "ascending"), ("size", "descending"), ("key", "ascending"), ("doc_id", "ascending")])
         size, p = rows["size"].to_pylist(), rows["p"].to_pylist()
         draw = _draw(rows["key"].to_numpy(zero_copy_only=False), level)
         names = rows["source"].to_pylist()

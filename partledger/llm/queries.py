@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from partledger.llm import language, mixing, quality, url_filter
+from partledger.llm import bpe, language, mixing, quality, toxicity, url_filter
 
 QUERIES = {
+    "op1_toxicity": toxicity.op1_toxicity,
+    "op2_byte_level_bpe": bpe.op2_byte_level_bpe,
     "op3_mixing_sources": mixing.op3_mixing_sources,
     "op4_url_filters": url_filter.op4_url_filters,
     "op6_language_id": language.op6_language_id,
