@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partledger.llm import bpe, language, mixing, quality, toxicity, url_filter
+from partledger.llm import bpe, chat, hilbert, language, mixing, quality, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -11,7 +11,10 @@ QUERIES = {
     "op4_url_filters": url_filter.op4_url_filters,
     "op6_language_id": language.op6_language_id,
     "op7_quality_rules": quality.op7_quality_rules,
+    "op8_chat_formatting": chat.op8_chat_formatting,
+    "op10_hilbert_neighbours": hilbert.op10_hilbert_neighbours,
 }
 ORACLES = {
+    "op8_chat_formatting": chat.ORACLE_SQL,
     "op4_url_filters": url_filter.ORACLE_SQL,
 }
