@@ -164,12 +164,14 @@ def _search(classes: DataFrame, known: DataFrame, k: int, curves: int, axes: int
                 yield pa.RecordBatch.from_arrays([curve, keys, batch["cid"]], ["curve", "key", "cid"])
 
     places = classes.select("cid", "vec").mapInArrow(keyed, "curve int, key bigint, cid bigint").withColumn("one", F.lit(1).cast("long"))
-    placed = checkpointed(running_total(checkpointed(places), ["curve", "key", "cid"], "one", "pos").select("pos", "cid"))
+    every = F.lit(classes.count())  # rows of a curve
+    ordered = running_total(checkpointed(places), ["curve", "key", "cid"], "one", "pos")
+    placed = checkpointed(ordered.select("curve", (F.col("pos") - F.col("curve") * every).alias("pos"), "cid"))
     vec = classes.select("cid", "vec")
-    there = placed.select(F.floor(F.col("pos") / BLOCK_ROWS).alias("block"), "pos", "cid", F.lit(False).alias("asks"))
+    there = placed.select("curve", F.floor(F.col("pos") / BLOCK_ROWS).alias("block"), "pos", "cid", F.lit(False).alias("asks"))
     reach = F.sequence(F.floor((F.col("pos") - window) / BLOCK_ROWS), F.floor((F.col("pos") + window) / BLOCK_ROWS))
-    asks = placed.join(known.select("cid").distinct(), "cid").select(F.explode(reach).alias("block"), "pos", "cid", F.lit(True).alias("asks"))
-    near = there.unionByName(asks).join(vec, "cid").groupBy("block").applyInArrow(_block(k + 1, window), "asker bigint, cid bigint, score double")
+    asks = placed.join(known.select("cid").distinct(), "cid").select("curve", F.explode(reach).alias("block"), "pos", "cid", F.lit(True).alias("asks"))
+    near = there.unionByName(asks).join(vec, "cid").groupBy("curve", "block").applyInArrow(_block(k + 1, window), "asker bigint, cid bigint, score double")
     near = near.groupBy("asker", "cid").agg(F.min("score").alias("score")).join(classes.select("cid", "ids"), "cid")
     rank = F.row_number().over(Window.partitionBy("asker").orderBy("score", "vec_id"))
     members = near.select("asker", "score", F.explode("ids").alias("vec_id")).withColumn("n", rank).where(F.col("n") <= k + 1)
