@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import math
 from collections.abc import Iterator, Sequence
 
@@ -136,3 +137,31 @@ def parts_for(rows: int, each: int) -> int:
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+def settle(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of tables that are written by now: it does so when its driver collects garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """``node, component`` (the smallest node) for every node of ``edges`` (``a, b``, 64-bit numbers).
+
+    Large-star and small-star rounds (Kiveris et al. 2014): each hangs nodes under the smallest neighbour until nothing moves.
+    A node with very many neighbours is only ever joined with one row.
+    """
+    now, seen = checkpointed(edges.where("a <> b").select("a", "b").distinct()), None
+    while True:
+        both = now.union(now.select("b", "a"))
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        down = checkpointed(large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+        least = down.groupBy("a").agg(F.min("b").alias("m"))
+        small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", "m"))
+        now = checkpointed(small.where("a <> b").distinct())
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+        if state == seen:
+            break
+        seen = state
+    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
