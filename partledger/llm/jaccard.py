@@ -1,9 +1,10 @@
 """N-gram Jaccard join in a metric space: pivots, Voronoi regions, and windows by the triangle inequality.
 
 The Jaccard distance of shingle sets is a metric. Each round elects pivots among the documents that are still outside, no two
-of which share a shingle. A document within ``HOME`` of its nearest pivot is at home in that pivot's region; every document
+of which share one of their rarer shingles. A document within ``HOME`` of its nearest pivot is at home in that pivot's region; every document
 within ``HOME`` plus the join's distance of a pivot is replicated to its region, so a home document meets there all it can link
-to. Documents that are at home nowhere go to the next round with new pivots. Within a region, members stand in blocks by
+to. Documents that are at home nowhere go to the next round with new pivots. Documents that differ only in shingles no other document has are
+merged into one point first. Within a region, members stand in blocks by
 distance from the pivot, and only blocks whose distances lie within the join's distance of each other are compared.
 """
 
@@ -22,7 +23,7 @@ from partledger.llm.common import (
 
 WORDS = 5  # in a shingle
 PERCENT = 75  # similarity of a link
-HOME = 50  # per cent of distance within which a document is at home with a pivot
+HOME = (50, 25, 0)  # per cent of distance within which a document is at home with a pivot, round by round and over again
 BLOCK_ROWS = 1000  # members of a region that one task compares with as many others
 BLOCK_SHINGLES = 1_000_000  # … and about so many shingles
 STRIPS = 8  # of a large region, by distance from its pivot
@@ -115,16 +116,34 @@ def _array_rows(words: int):
 
 
 def _shared_enough(sets: DataFrame, percent: int) -> DataFrame:
-    """Sets (``name, n, hs``) of which at least ``percent`` of the shingles are in another set too; no other can link."""
+    """Sets (``name, n, hs``) of which at least ``percent`` of all ``n`` shingles are in another set too; no other can link.
+
+    ``hs`` keeps the shared shingles only, those in fewest sets first; a set's own count in ``n`` alone.
+    """
     rows = sets.select("name", "n", F.explode("hs").alias("h"))
-    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h")
-    mine = rows.join(often, "h").groupBy("name").agg(F.count(F.lit(1)).alias("known"), F.first("n").alias("_n"))
-    good = mine.where(F.col("known") * 100 >= F.col("_n") * percent).select("name", "known")
-    return sets.drop("known").join(good, "name")
+    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("k", "h"))), lambda x: x["h"])
+    mine = rows.join(often, "h").groupBy("name").agg(F.first("n").alias("n"), ordered.alias("hs"))
+    return mine.where(F.size("hs") * 100 >= F.col("n") * percent)
+
+
+def _merged(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Sets that differ only in shingles of their own become one point: the smallest, and those too large to link with it.
+
+    A set that links with the smallest of its kind has no link that the smallest lacks. Returns the sets and the links.
+    """
+    key = [F.xxhash64("hs").alias("k1"), F.xxhash64("hs", F.lit(1)).alias("k2"), F.size("hs").alias("k3")]
+    keyed = sets.select("*", *key)
+    least = keyed.groupBy("k1", "k2", "k3").agg(F.min(F.struct("n", "name")).alias("least"))
+    both = keyed.join(least, ["k1", "k2", "k3"])
+    hangs = (F.col("name") != F.col("least.name")) & (100 * F.col("k3") >= percent * (F.col("n") + F.col("least.n") - F.col("k3")))
+    both = checkpointed(both.withColumn("hangs", hangs))
+    links = both.where("hangs").select(F.col("name").alias("a"), F.col("least.name").alias("b"))
+    return both.where("NOT hangs").select("name", "n", "hs"), links
 
 
 def _candidates(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Set of every text (``row, n, name``), and the distinct sets that may link with a different one (``name, n, hs, known``)."""
+    """Set of every text (``row, n, name``), and the distinct sets that may link with a different one (``name, n, hs``)."""
     spark = docs.sparkSession
     missing = Fraction(100 - percent, 100)
     sets = checkpointed(docs.select("row", "text").mapInArrow(_set_rows(words), "row bigint, n bigint, name bigint"))
@@ -140,19 +159,15 @@ def _candidates(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
     likely = hits.join(copies, "name").where(F.col("hits") >= F.col("copies") * (1 + F.floor(partner / 16))).select("row", "name")
     likely = checkpointed(likely)
     settle(spark)
-    arrays = docs.join(likely, "row").dropDuplicates(["name"]).select("name", "text").mapInArrow(_array_rows(words), "name bigint, n bigint, hs array<bigint>")
-    found = checkpointed(arrays)
-    for _ in range(2):
-        found = checkpointed(_shared_enough(found, percent))
-        settle(spark)
-    return sets, found
+    arrays = docs.select("row", "text").join(likely, "row").dropDuplicates(["name"]).select("name", "text").mapInArrow(_array_rows(words), "name bigint, n bigint, hs array<bigint>")
+    return sets, checkpointed(arrays)
 
 
 def _elect(rows: DataFrame) -> DataFrame:
     """Pivots: sets that come first on every one of their shingles, so that no two pivots share one."""
-    first = rows.groupBy("h").agg(F.min(F.struct("rank", "name", "n")).alias("first"))
-    won = first.groupBy("first.name", "first.n").agg(F.count(F.lit(1)).alias("won"))
-    return won.where("won = n").select("name")
+    first = rows.groupBy("h").agg(F.min(F.struct("rank", "name", "known")).alias("first"))
+    won = first.groupBy("first.name", "first.known").agg(F.count(F.lit(1)).alias("won"))
+    return won.where("won = known").select("name")
 
 
 class _Union:
@@ -210,33 +225,60 @@ def _dense(rows: np.ndarray, at: np.ndarray, code: np.ndarray, width: int) -> np
     return out
 
 
-def _links(sets: DataFrame, percent: int, home: int, block_rows: int) -> DataFrame:
+def _links(sets: DataFrame, percent: int, home: tuple[int, ...], block_rows: int) -> DataFrame:
     """``a, b``: links that connect the given sets exactly as all links of at least ``percent`` do."""
     spark = sets.sparkSession
-    eps = 100 - percent
-    central = F.floor(1000 * (1 - F.col("known") / F.col("n"))).cast("long")  # sets with few shingles of their own come first
-    outside = checkpointed(sets.withColumn("rank", F.shiftleft(central, 52) + F.shiftrightunsigned(F.xxhash64("name"), 12)))
     links = [spark.createDataFrame([], "a bigint, b bigint")]
-    while not outside.isEmpty():
-        rows = outside.select("name", "n", "rank", F.explode("hs").alias("h"))
+    outside, rounds = sets, 0
+    while True:
+        outside, hanging = _merged(checkpointed(_shared_enough(outside, percent)), percent)
+        links.append(hanging)
+        settle(spark)
+        count, size = outside.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+        if not count:
+            break
+        if count <= block_rows and size <= BLOCK_SHINGLES:  # small enough to be compared as one region
+            links.append(_as_one(outside, percent))
+            break
+        near_enough = home[rounds % len(home)]
+        rounds += 1
+        # Prefixes, rarest shingles first: of two sets at least this similar, both have a common shingle in them.
+        least = percent - near_enough
+        prefix = F.size("hs") - F.ceil(F.col("n") * least / 100).cast("int") + 1
+        own = 1 - F.size("hs") / F.col("n")  # sets with few shingles of their own are the more central
+        rank = F.shiftleft(F.floor(1000 * own).cast("long"), 52) + F.shiftrightunsigned(F.xxhash64("name", F.lit(rounds)), 12)
+        shown = outside.withColumn("known", prefix).where("known > 0")
+        rows = shown.select("name", rank.alias("rank"), "known", F.explode(F.slice("hs", F.lit(1), F.col("known"))).alias("h"))
         pivots = checkpointed(_elect(rows))
-        theirs = rows.join(pivots, "name").select("h", F.col("name").alias("pivot"), F.col("n").alias("pivot_n"))
-        common = rows.join(theirs, "h").groupBy("name", "n", "pivot", "pivot_n").agg(F.count(F.lit(1)).alias("both"))
-        every = F.col("n") + F.col("pivot_n") - F.col("both")
-        met = common.withColumn("every", every).where(100 * F.col("both") >= (100 - home - eps) * F.col("every"))
-        met = checkpointed(met.select("name", "pivot", "both", "every", (1 - F.col("both") / F.col("every")).alias("distance")))
+        theirs = rows.join(pivots, "name").select("h", F.col("name").alias("pivot"))
+        pairs = rows.join(theirs, "h").select("name", "pivot").distinct()
+        whole = outside.select(F.col("name").alias("pivot"), F.col("n").alias("pivot_n"), F.col("hs").alias("pivot_hs"))
+        sizes = 100 * F.least("n", "pivot_n") >= least * F.greatest("n", "pivot_n")
+        both = pairs.join(outside, "name").join(whole, "pivot").where(sizes)
+        both = both.select("name", "pivot", F.size(F.array_intersect("hs", "pivot_hs")).alias("shared"), "n", "pivot_n")
+        shared = F.when(F.col("name") == F.col("pivot"), F.col("n")).otherwise(F.col("shared")).alias("both")
+        met = both.select("name", "pivot", shared, "n", "pivot_n").withColumn("every", F.col("n") + F.col("pivot_n") - F.col("both"))
+        met = met.where(100 * F.col("both") >= least * F.col("every"))
         near = 100 * F.col("both") >= percent * F.col("every")
-        links.append(met.where(near & (F.col("name") != F.col("pivot"))).select(F.col("name").alias("a"), F.col("pivot").alias("b")))
-        links.append(_inside_regions(outside, met.withColumn("near", near), percent, block_rows))
-        at_home = met.where(100 * F.col("both") >= (100 - home) * F.col("every")).select("name").distinct()
-        outside = checkpointed(outside.join(at_home, "name", "left_anti"))
-        settle(spark)
+        at_home = (100 * F.col("both") >= (100 - near_enough) * F.col("every")).alias("at_home")
+        met = checkpointed(met.select("name", "pivot", (1 - F.col("both") / F.col("every")).alias("distance"), near.alias("near"), at_home))
+        links.append(met.where("near AND name <> pivot").select(F.col("name").alias("a"), F.col("pivot").alias("b")))
+        if near_enough:
+            links.append(_inside_regions(outside, met, percent, block_rows))
+        outside = shown.drop("known").join(met.where("at_home").select("name").distinct(), "name", "left_anti")
     out = links[0]
     for more in links[1:]:
         out = out.union(more)
     return out
 
 
+def _as_one(sets: DataFrame, percent: int) -> DataFrame:
+    """Links of a few sets, all compared in one task."""
+    alone = sets.select(F.lit(0).cast("long").alias("pivot"), "name", F.lit(False).alias("near"), "n", "hs")
+    work = alone.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1))))
+    return checkpointed(work.groupBy("pivot").applyInArrow(_compare(percent), "a bigint, b bigint"))
+
+
 def _inside_regions(sets: DataFrame, met: DataFrame, percent: int, block_rows: int) -> DataFrame:
     """Links inside regions that the pivots' own links don't give: those of members too far from the pivot to hang on it."""
     eps = (100 - percent) / 100 + 1e-9
@@ -265,7 +307,7 @@ def _inside_regions(sets: DataFrame, met: DataFrame, percent: int, block_rows: i
     return checkpointed(work.groupBy("pivot", "ba", "bb").applyInArrow(_compare(percent), "a bigint, b bigint"))
 
 
-def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, home: int = HOME, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, home: tuple[int, ...] = HOME, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``doc_id, row, n_shingles, name, component`` for every row of ``docs`` (``doc_id, text``).
 
     Two texts link when 100 * intersection >= percent * union of their sets of ``words``-word shingles; shorter texts have one
