@@ -67,7 +67,7 @@ def prefix_tree(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     its own, root first. ``loss_start`` and ``loss_end`` are set for assistant turns: the tokens of the text itself.
 
     Rows of a conversation are ordered by turn (null first), role, text; repeated rows are turns of their own. A null role
-    or text is empty, a null ``conv_id`` is one conversation. Leaves: ``conv_id, n_turns, node``. One conversation is
+    or text is empty, a null ``conv_id`` is one conversation. Leaves: ``conv_id, n_turns, node, starts``. One conversation is
     built in one task; a prefix that many share is merged before and after the shuffle.
     """
     start(turns.sparkSession)
@@ -78,38 +78,63 @@ def prefix_tree(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     whole = turns.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(said)).alias("turns"))
     rows = checkpointed(whole.mapInArrow(_named, TURN))
-    name = F.expr(f"substring(path, -{NODE}, {NODE})")
+    name = F.expr(f"substring(path, -{NODE}, {NODE})").alias("node")
     segment = F.concat("role", "text", F.lit(END))
-    nodes = rows.groupBy("path").agg(F.first("depth").alias("depth"), F.first("position").alias("position"), F.first("role").alias("role"), F.first("text").alias("text"))
-    nodes = nodes.select("path", name.alias("node"), "depth", "position", "role", segment.alias("segment"), F.length(segment).cast("long").alias("n_tokens"), F.length("role").alias("head"))
-    laid = checkpointed(running_total(checkpointed(nodes), ["path"], "n_tokens", "start"))
-    above = laid.where("depth > 0").select(
-        "node", F.explode(F.transform(F.sequence(F.lit(0), F.col("depth") - 1), lambda k: F.substring("path", k * NODE + 1, F.lit(NODE)))).alias("above")
-    )
-    spans = laid.select(F.col("node").alias("above"), F.struct("start", (F.col("start") + F.col("n_tokens")).alias("end"), "position").alias("span"))
-    ancestors = above.join(spans, "above").groupBy("node").agg(
-        F.transform(F.array_sort(F.collect_list("span"), lambda a, b: F.when(a["position"] != b["position"], F.signum(a["position"] - b["position"]).cast("int")).otherwise(F.signum(a["start"] - b["start"]).cast("int"))), lambda x: F.struct(x["start"], x["end"])).alias("ancestors")
-    )
+    nodes = rows.groupBy("path").agg(*[F.first(c).alias(c) for c in ("depth", "position", "role", "text")])
+    nodes = nodes.select("path", name, "depth", "position", "role", segment.alias("segment"), F.length(segment).cast("long").alias("n_tokens"), F.length("role").alias("head"))
+    laid = checkpointed(running_total(checkpointed(nodes), ["path"], "n_tokens", "start").withColumn("end", F.col("start") + F.col("n_tokens")))
+    above = _ancestors(laid.select("path", "node", "depth", "start", "end"))
     speaks = F.col("role") == HEAD + "assistant" + MIDDLE
-    tree = laid.join(ancestors, "node", "left").select(
+    tree = laid.join(above, "node").select(
         "node", "depth", "start", "n_tokens", "position",
         F.when(speaks, F.col("start") + F.col("head")).alias("loss_start"),
-        F.when(speaks, F.col("start") + F.col("n_tokens") - len(END)).alias("loss_end"),
-        "segment",
-        F.coalesce("ancestors", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("ancestors"),
+        F.when(speaks, F.col("end") - len(END)).alias("loss_end"),
+        "segment", "ancestors",
     )
-    return tree, rows.where("leaf").select("conv_id", "n_turns", name.alias("node"))
+    return tree, _leaves(rows, laid.select("node", "start"))
+
+
+def _ancestors(laid: DataFrame) -> DataFrame:
+    """``node, ancestors`` of nodes laid out depth first (``path, node, depth, start, end``).
+
+    A run is a chain of first children; its tokens are contiguous. Only the head of a run looks its ancestors up, so there are
+    no more lookups than turns: every conversation heads one run at most.
+    """
+    parent = laid.select(F.col("node").alias("_parent"), F.col("end").alias("_end"))
+    up = F.when(F.col("depth") > 0, F.expr(f"substring(path, -{2 * NODE}, {NODE})"))
+    marked = laid.withColumn("_parent", up).join(parent, "_parent", "left")
+    heads = (F.col("depth") == 0) | (F.col("_end") != F.col("start"))
+    marked = checkpointed(marked.select("path", "node", "depth", "start", "end", heads.cast("long").alias("heads")))
+    placed = checkpointed(running_total(marked, ["start"], "heads", "run").withColumn("run", F.col("run") + F.col("heads")))
+    names = F.transform(F.sequence(F.lit(0), F.col("depth") - 1), lambda k: F.substring("path", k * NODE + 1, F.lit(NODE)))
+    asked = placed.where("heads = 1 AND depth > 0").select("run", F.explode(names).alias("node"))
+    met = asked.join(placed.select("node", F.col("run").alias("of"), "start", "end"), "node")
+    spans = met.groupBy("run", "of").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = spans.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("above"))
+    runs = placed.where("heads = 1").select("run", F.col("start").alias("first")).join(spans, "run", "left")
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    own = F.when(F.col("start") > F.col("first"), F.array(F.struct(F.col("first").alias("start"), F.col("start").alias("end")))).otherwise(none)
+    return placed.join(runs, "run").select("node", F.concat(F.coalesce("above", none), own).alias("ancestors"))
+
+
+def _leaves(rows: DataFrame, starts: DataFrame) -> DataFrame:
+    """``conv_id, n_turns, node, starts``: each conversation's last node and the places of its turns, looked up once a leaf."""
+    last = rows.where("leaf").select("conv_id", "n_turns", F.substring("path", -NODE, NODE).alias("node"), "path")
+    one = last.groupBy("node").agg(F.first("path").alias("path"), F.first("n_turns").alias("n"))
+    names = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda k: F.substring("path", (k * NODE + 1).cast("int"), F.lit(NODE)))
+    steps = one.select(F.col("node").alias("leaf"), F.explode(names).alias("node")).join(starts, "node")
+    places = steps.groupBy(F.col("leaf").alias("node")).agg(F.sort_array(F.collect_list("start")).alias("starts"))
+    return last.select("conv_id", "n_turns", "node").join(places, "node")
 
 
 def read_back(tree: DataFrame, leaves: DataFrame) -> DataFrame:
-    """``conv_id, turns, loss, formatted_chars`` from the output alone: a leaf's ancestors and itself, parsed and unescaped.
+    """``conv_id, turns, loss, formatted_chars`` from the output alone: a conversation's segments, parsed and unescaped.
 
     ``turns`` is an array of role and text, ``loss`` the text under the loss mask. Conversations that end in the same node
     are parsed once.
     """
-    ends = tree.join(leaves.select("node").distinct(), "node", "left_semi")
-    steps = ends.select("node", F.explode(F.concat(F.transform("ancestors", lambda x: x["start"]), F.array("start"))).alias("start"))
-    parts = tree.select("start", "position", "segment", (F.col("loss_start") - F.col("start")).alias("from"), (F.col("loss_end") - F.col("loss_start")).alias("size"), "depth")
+    steps = leaves.dropDuplicates(["node"]).select("node", F.explode("starts").alias("start"))
+    parts = tree.select("start", "segment", (F.col("loss_start") - F.col("start")).alias("from"), (F.col("loss_end") - F.col("loss_start")).alias("size"), "depth")
     pieces = steps.join(parts, "start")
     body = F.regexp_extract("segment", r"(?s)^### [^:]*: (.*)</turn>\n$", 1)
     turn = F.struct("depth", unescaped(F.regexp_extract("segment", r"(?s)^### ([^:]*): ", 1)).alias("role"), unescaped(body).alias("text"))
