@@ -209,13 +209,13 @@ def decode(coded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return coded.select(*kept, "ids").mapInArrow(run, schema)
 
 
-def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256``: every text encoded and its ids decoded again."""
-    coded = encode(docs.select("doc_id", "text"), ranks_path, pattern).select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256")
-    )
+def digests(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep, n_tokens, ids_sha256, decoded_sha256``: every text encoded and its ids decoded again."""
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    coded = encode(docs.select(*keep, "text"), ranks_path, pattern)
+    coded = coded.select(*keep, "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"))
     back = decode(coded, ranks_path, pattern)
-    return back.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return back.select(*keep, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op2_byte_level_bpe(spark, sf_dir: str) -> DataFrame:

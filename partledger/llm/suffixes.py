@@ -402,6 +402,25 @@ def remove_repeats(docs: DataFrame, long: int = LONG, gram: int = GRAM, range_ro
     return joined.select(*kept, F.col("text").alias("_text"), "_spans").mapInArrow(lambda b: _without(b, kept), schema)
 
 
+def without_repeats(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with its repeated passages cut out of ``text``; ``n_chars``, if there, is counted again. No row is dropped.
+
+    Where a cut falls inside a character, what is left of that character goes too. A null text stays null.
+    """
+
+    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [None if none else raw.decode("utf-8", "ignore") for raw, none in zip(batch["kept"].to_pylist(), batch["_null"].to_pylist())]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), pa.array(texts, pa.string())], [*others, "text"])
+
+    others = [c for c in docs.columns if c != "text"]
+    done = remove_repeats(docs.withColumn("_null", F.col("text").isNull()), **options)
+    text = done.select(*others, "kept", "_null").mapInArrow(decoded, docs.select(*others, "text").schema)
+    if "n_chars" in others:
+        text = text.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return text.select(*docs.columns)
+
+
 def op9_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     done = remove_repeats(docs)
