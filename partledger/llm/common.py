@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from partledger.session import checkpointed, ship_package
 
 SLICE_BYTES = 1 << 20  # texts are worked on in runs of about this many bytes, which stay in the CPU's cache
+BATCH_ROWS = 2000
 MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D  # odd, hence invertible modulo 2**64
 _BYTE = np.random.default_rng(20240607).integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -24,8 +25,10 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def start(spark: SparkSession) -> None:
-    """Make the package importable in the Python workers."""
+    """Make the package importable in the Python workers, and keep Arrow batches of whole texts small."""
     ship_package(spark)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
