@@ -18,11 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from partledger.llm.common import _BYTE, MIX, checkpointed, flat, mixed, parts_for, slices, span_hashes, start, table
+from partledger.llm.common import _BYTE, MIX, checkpointed, flat, mixed, parts_for, settle, slices, span_hashes, start, table
 
 LONG = 200  # bytes of a passage that counts
 GRAM = 32  # bytes that name an anchor
-RANGE_ROWS = 20_000  # leaves of the suffix array in a range
+RANGE_ROWS = 10_000  # leaves of the suffix array in a range
 CHUNK = 1 << 16
 
 
@@ -107,11 +107,21 @@ def _leaf_rows(long: int, gram: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, wanted in zip(batch["text"], batch["wanted"].to_pylist()):
-                raw = text.as_py().encode("utf-8", "surrogatepass")
-                rows = [(w["name"], w["context"], raw[w["pos"] : w["pos"] + after], raw[max(0, w["pos"] - before) : w["pos"]][::-1]) for w in wanted]
-                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], ["name", "context", "right", "left"])
+            texts = batch["text"].cast(pa.binary())
+            wanted = batch["wanted"]
+            each = wanted.value_lengths().to_pylist()
+            pos, name, context = wanted.flatten().flatten()
+            places, done = pos.to_pylist(), 0
+            right, left = [], []
+            for text, count in zip(texts, each):
+                raw = text.as_py()
+                for p in places[done : done + count]:
+                    right.append(raw[p : p + after])
+                    left.append(raw[max(0, p - before) : p][::-1])
+                done += count
+            for i in range(0, len(right), 20_000):
+                one = slice(i, i + 20_000)
+                yield pa.RecordBatch.from_arrays([name[one], context[one], pa.array(right[one], pa.binary()), pa.array(left[one], pa.binary())], ["name", "context", "right", "left"])
 
     return run
 
@@ -128,15 +138,16 @@ def _common(a: bytes, b: bytes) -> int:
 class Ranges:
     """Cuts the suffix array into ranges at some leaves, and knows the depths of the intervals that lie across a cut."""
 
-    def __init__(self, cuts: list[tuple[bytes, bytes]]):
-        self.cuts = cuts
+    def __init__(self, cuts: list[tuple[bytes, bytes]], gram: int):
+        self.cuts, self.gram = cuts, gram
         self.depths: list[list[int]] = [[] for _ in cuts]
 
     def place(self, right: bytes, left: bytes) -> tuple[int, int, int]:
-        """Range of a leaf and its common prefix with the cuts below and above."""
+        """Range of a leaf and its common prefix with the cuts below and above (0 if less than a name)."""
         k = bisect.bisect_right(self.cuts, (right, left))
-        low = _common(right, self.cuts[k - 1][0]) if k else 0
-        return k, low, _common(right, self.cuts[k][0]) if k < len(self.cuts) else 0
+        low = _common(right, self.cuts[k - 1][0]) if k and right[: self.gram] == self.cuts[k - 1][0][: self.gram] else 0
+        high = _common(right, self.cuts[k][0]) if k < len(self.cuts) and right[: self.gram] == self.cuts[k][0][: self.gram] else 0
+        return k, low, high
 
     def learn(self, seen: list[tuple[int, int]], least: int) -> None:
         """``seen``: cut and common prefix of leaves next to it. A leaf farther off meets a cut through those between."""
@@ -240,13 +251,15 @@ def _scan(ranges: Ranges, long: int, gram: int):
         name, context = np.asarray(rows["name"]), np.asarray(rows["context"])
         closed = {"name": name[ok], "context": context[ok], "left": far_left[ok], "right": far_right[ok]}
         part, nodes, members, depths = rows["part"][0].as_py(), [], [], []
-        ends = rows["right"].to_pylist()
+        ends = rows["right"]
         for cut, column in ((part - 1, "low"), (part, "high")):
             if 0 <= cut < len(ranges.cuts):
-                for i, common in enumerate(rows[column].to_pylist()):
+                common = np.asarray(rows[column])
+                for i in np.flatnonzero(common >= gram).tolist():
+                    end = ends[i].as_py()
                     for depth in ranges.depths[cut]:
-                        if gram <= depth <= common:
-                            nodes.append(hashlib.blake2b(ends[i][:depth], digest_size=16).digest())
+                        if depth <= common[i]:
+                            nodes.append(hashlib.blake2b(end[:depth], digest_size=16).digest())
                             members.append(i)
                             depths.append(depth)
         at = np.array(members, np.int64)
@@ -311,14 +324,14 @@ def _tree_reach(leaves: DataFrame, long: int, gram: int, range_rows: int) -> Dat
         share = leaves.select("right", "left").orderBy(F.xxhash64("name", "context", F.lit(3))).limit(8 * parts).collect()
         sample = sorted((bytes(r["right"]), bytes(r["left"])) for r in share)
         cuts = sorted({sample[k * len(sample) // parts] for k in range(1, parts)})
-    ranges = Ranges(cuts)
+    ranges = Ranges(cuts, gram)
     schema = "part int, low int, high int, name bigint, context bigint, right binary, left binary"
     if cuts:
-        near = leaves.select("name", "context", "right", "left").mapInArrow(_placed(ranges), schema)
+        near = leaves.mapInArrow(_placed(ranges), schema)
         seen = near.select((F.col("part") - 1).alias("cut"), F.col("low").alias("depth")).union(near.select("part", "high"))
         seen = seen.where(f"depth >= {gram}").distinct().collect()  # at most LONG numbers for each cut
         ranges.learn([(r["cut"], r["depth"]) for r in seen], gram)
-    near = leaves.select("name", "context", "right", "left").mapInArrow(_placed(ranges), schema)
+    near = leaves.mapInArrow(_placed(ranges), schema)
     scanned = checkpointed(near.groupBy("part").applyInArrow(_scan(ranges, long, gram), OPEN))
     closed = scanned.where("node IS NULL").select("name", "context", "left", "right")
     if not cuts:
@@ -344,15 +357,18 @@ def repeated_spans(texts: DataFrame, long: int = LONG, gram: int = GRAM, range_r
     found = checkpointed(
         texts.select("row", "text").mapInArrow(_anchor_rows(long, gram), "row bigint, pos int, name bigint, context bigint, left smallint, right smallint")
     )
+    settle(texts.sparkSession)
     often = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
     shared = checkpointed(found.join(often, "name"))
+    settle(texts.sparkSession)
     least = F.min(F.struct("row", "pos", "left", "right"))
     classes = checkpointed(shared.groupBy("name", "context").agg(F.count(F.lit(1)).alias("n"), least.alias("one")))
     several = classes.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
     wanted = classes.join(several, "name").select(F.col("one.row").alias("row"), F.struct(F.col("one.pos").alias("pos"), "name", "context").alias("w"))
     wanted = wanted.groupBy("row").agg(F.collect_list("w").alias("wanted"))
     one_text = texts.select("row", "text").join(wanted, "row")
-    leaves = checkpointed(one_text.mapInArrow(_leaf_rows(long, gram), "name bigint, context bigint, right binary, left binary").dropDuplicates(["name", "context"]))
+    leaves = checkpointed(one_text.mapInArrow(_leaf_rows(long, gram), "name bigint, context bigint, right binary, left binary"))
+    settle(texts.sparkSession)
     own = classes.where(F.col("n") > 1).where(F.col("one.left") + F.col("one.right") >= long)
     own = own.select("name", "context", F.col("one.left").cast("int").alias("left"), F.col("one.right").cast("int").alias("right"))
     reach = own.unionByName(_tree_reach(leaves, long, gram, range_rows))
