@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import math
 from collections.abc import Iterator, Sequence
 
@@ -25,8 +24,12 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def start(spark: SparkSession) -> None:
-    """Make the package importable in the Python workers, and keep Arrow batches of whole texts small."""
+    """Make the package importable in the Python workers, and keep Arrow batches of whole texts small.
+
+    Shuffle files of a query that has ended go at once: every table that is read again is a written one.
+    """
     ship_package(spark)
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
@@ -142,12 +145,6 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def settle(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of tables that are written by now: it does so when its driver collects garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node) for every node of ``edges`` (``a, b``, 64-bit numbers).
 

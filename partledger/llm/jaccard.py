@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from partledger.llm.common import (
-    LOWER, MIX, checkpointed, components, flat, mixed, settle, slices, span_hashes, start, table, word_counts, word_spans,
+    LOWER, MIX, checkpointed, components, flat, mixed, slices, span_hashes, start, table, word_counts, word_spans,
 )
 
 WORDS = 5  # in a shingle
@@ -152,13 +152,11 @@ def _candidates(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
     # that the other lacks, so both see at least a sixteenth of its size, and one more, in both prefixes. Copies only
     # make the filter let more through.
     often = checkpointed(rows.select("h").groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"))
-    settle(spark)
     partner = F.ceil(F.col("n") * percent / 100)
     hits = rows.join(often, "h").groupBy("name", "n").agg(F.count(F.lit(1)).alias("hits"))
     copies = sets.groupBy("name").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"))
     likely = hits.join(copies, "name").where(F.col("hits") >= F.col("copies") * (1 + F.floor(partner / 16))).select("row", "name")
     likely = checkpointed(likely)
-    settle(spark)
     arrays = docs.select("row", "text").join(likely, "row").dropDuplicates(["name"]).select("name", "text").mapInArrow(_array_rows(words), "name bigint, n bigint, hs array<bigint>")
     return sets, checkpointed(arrays)
 
@@ -233,7 +231,6 @@ def _links(sets: DataFrame, percent: int, home: tuple[int, ...], block_rows: int
     while True:
         outside, hanging = _merged(checkpointed(_shared_enough(outside, percent)), percent)
         links.append(hanging)
-        settle(spark)
         count, size = outside.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
         if not count:
             break
