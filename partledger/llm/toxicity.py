@@ -101,7 +101,7 @@ class Network:
         for side in "fb":
             shape |= {f"in_{side}": (2 * INPUT, 3 * STATE), f"rec_{side}": (STATE, 3 * STATE), f"bias_{side}": (3 * STATE,)}
         made = {k: draw.normal(0, 0.1 if len(s) > 1 and s[0] > 99 else 0.3, s).astype(np.float32) for k, s in shape.items()}
-        return Network(made | {"shift": np.zeros(1, np.float32), "scale": np.ones(1, np.float32)})
+        return Network(made | {"shift": np.zeros(1, np.float32)})
 
     def inputs(self, w: Windows) -> np.ndarray:
         """Input vector of each distinct word, and a last row of zeros for places without a word."""
@@ -193,7 +193,7 @@ class Network:
         out = np.zeros(len(offsets) - 1)
         for a, b in slices(offsets):
             w = windows_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-            out[a:b] = _sigmoid(self.p["scale"][0] * (self.document_logits(w, b - a) - self.p["shift"][0]) + np.log(CUT / (1 - CUT)))
+            out[a:b] = _sigmoid(self.document_logits(w, b - a) - self.p["shift"][0] + np.log(CUT / (1 - CUT)))
         return out
 
 
@@ -215,9 +215,8 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7, rounds: int = 8, bat
     highest ones, so the network learns which window decides. A tenth of the texts is kept back to place the cut.
     """
     net, draw = Network.fresh(seed), np.random.default_rng(seed)
-    if len(set(toxic.tolist())) < 2:
-        net.p["scale"][:], net.p["shift"][:] = 0, 0
-        net.p["shift"][:] = 0
+    if len(set(toxic.tolist())) < 2:  # nothing to tell apart: no text is toxic, or every one with words is
+        net.p["shift"][:] = -1e9 if toxic.any() else 1e9
         return net
     w = windows_of(*flat(pa.array(texts, pa.string())))
     back = np.zeros(len(texts), bool)
