@@ -80,12 +80,13 @@ def gram_ratios(docs: DataFrame, trusted_ids: DataFrame) -> list[float]:
     known = docs.join(F.broadcast(trusted_ids.select("doc_id", F.lit(1).alias("trusted"))), "doc_id", "left")
     grams = known.select(F.col("trusted"), F.explode(bucketed(words_of(F.col("text")))).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("good")).toPandas()
-    raw, good = [SMOOTHING] * BUCKETS, [SMOOTHING] * BUCKETS
+    raw, good = [SMOOTHING] * BUCKETS, [0.0] * BUCKETS
     for bucket, r, g in counts.itertuples(index=False):
         raw[bucket] += r
         good[bucket] += g
-    every, best = math.log(sum(raw)), math.log(sum(good))
-    return [math.log(g) - best - math.log(r) + every for r, g in zip(raw, good)]
+    # the trusted shares lean on the raw ones with the weight of one n-gram a bucket
+    every, best = sum(raw), sum(good) + BUCKETS
+    return [math.log((g + BUCKETS * r / every) / best) - math.log(r / every) for r, g in zip(raw, good)]
 
 
 def trusted_documents(labels: DataFrame, most: int = MAX_TRUSTED) -> DataFrame:
