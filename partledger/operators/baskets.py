@@ -6,6 +6,7 @@ built, so a basket array holds at most ``pairs / (min_support * baskets)`` items
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
@@ -77,15 +78,11 @@ def association_rules(
     min_confidence: float = DEFAULTS.min_confidence,
     min_lift: float | None = DEFAULTS.min_lift,
 ) -> DataFrame:
-    """Every split of every itemset into antecedent and consequent, with its metrics."""
-    k = F.size("items")
-    mask = F.explode(F.sequence(F.lit(1).cast("long"), F.expr("shiftleft(1L, size(items)) - 2"))).alias("mask")
-    splits = itemsets.where(k > 1).select("items", "support", mask)
-    sides = splits.select(
-        F.expr("filter(items, (x, i) -> shiftright(mask, i) & 1 = 1)").alias("antecedents"),
-        F.expr("filter(items, (x, i) -> shiftright(mask, i) & 1 = 0)").alias("consequents"),
-        "support",
-    )
+    """Splits of every itemset into antecedent and consequent that reach the confidence, with their metrics.
+
+    Consequents grow item by item (Agrawal and Srikant 1994): where one fails the confidence, larger ones of the same
+    itemset fail too, so only splits next to a rule are ever looked at.
+    """
 
     def supports(side: str, name: str) -> DataFrame:
         return itemsets.select(F.col("items").alias(side), F.col("support").alias(name))
@@ -93,11 +90,23 @@ def association_rules(
     a, c, s = F.col("antecedent_support"), F.col("consequent_support"), F.col("support")
     conf, lev = F.col("confidence"), F.col("leverage")
     worst = F.greatest(s * (1 - a), a * (c - s))
+    several = itemsets.where(F.size("items") > 1).select("items", "support")
+    level = several.withColumn("consequents", F.explode(F.transform("items", lambda x: F.array(x))))
+    found = []
+    while True:
+        sides = level.withColumn("antecedents", F.array_except("items", "consequents"))
+        sure = sides.join(supports("antecedents", "antecedent_support"), "antecedents").withColumn("confidence", s / a)
+        found.append(checkpointed(sure.where(conf >= min_confidence)))
+        longer = found[-1].where(F.size("antecedents") > 1).select("items", "support", "consequents")
+        if longer.isEmpty():
+            break
+        more = F.filter("items", lambda x: x > F.element_at("consequents", -1))
+        level = longer.withColumn("_item", F.explode(more)).select(
+            "items", "support", F.concat("consequents", F.array("_item")).alias("consequents")
+        )
+    sides = functools.reduce(DataFrame.unionByName, found)
     rules = (
-        sides.join(supports("antecedents", "antecedent_support"), "antecedents")
-        .withColumn("confidence", s / a)
-        .where(conf >= min_confidence)
-        .join(supports("consequents", "consequent_support"), "consequents")
+        sides.join(supports("consequents", "consequent_support"), "consequents")
         .withColumn("lift", conf / c)
         .withColumn("leverage", s - a * c)
         .withColumn("conviction", F.when(conf < 1, (1 - c) / (1 - conf)).otherwise(F.lit(float("inf"))))

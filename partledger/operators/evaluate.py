@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from partledger.functions.numbers import ratio_or_zero
 from partledger.operators.blocks import BLOCK_ROWS, block_join, matrix
-from partledger.operators.ordering import SMALL_ROWS, running_totals
+from partledger.operators.ordering import running_totals
 from partledger.session import checkpointed
 
 THRESHOLDS = [float(t) for t in np.arange(0.10, 0.91, 0.05)]
@@ -65,38 +65,38 @@ def classification_report(df: DataFrame, truth: str, pred: str) -> DataFrame:
     return confusion(df, truth, pred).select(F.explode(F.array(*lines)).alias("r")).select("r.*")
 
 
-def _score_curve(df: DataFrame, truth: str, score: str, small_rows: int) -> DataFrame:
+def _score_curve(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Distinct scores from high to low with running counts of positives and negatives."""
     counts = checkpointed(
         df.where(F.col(score).isNotNull())
         .groupBy(F.col(score).cast("double").alias("threshold"))
         .agg(F.count_if(F.col(truth) == 1).alias("pos"), F.count_if(F.col(truth) == 0).alias("neg"))
     )
-    curve = running_totals(counts, "threshold", ["pos", "neg"], descending=True, small_rows=small_rows)
+    curve = running_totals(counts, "threshold", ["pos", "neg"], descending=True)
     return curve.withColumns(
         {"all_pos": counts.select(F.sum("pos")).scalar(), "all_neg": counts.select(F.sum("neg")).scalar()}
     )
 
 
-def roc_curve(df: DataFrame, truth: str, score: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def roc_curve(df: DataFrame, truth: str, score: str) -> DataFrame:
     """``threshold, fpr, tpr`` per distinct score."""
-    return _score_curve(df, truth, score, small_rows).select(
+    return _score_curve(df, truth, score).select(
         "threshold",
         F.try_divide("cum_neg", "all_neg").alias("fpr"),
         F.try_divide("cum_pos", "all_pos").alias("tpr"),
     )
 
 
-def roc_auc(df: DataFrame, truth: str, score: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def roc_auc(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Area under the ROC curve, ties counted half; null when one class is missing."""
     area = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") / 2.0))
     whole = F.max(F.col("all_pos").cast("double") * F.col("all_neg"))
-    return _score_curve(df, truth, score, small_rows).agg(F.try_divide(area, whole).alias("roc_auc"))
+    return _score_curve(df, truth, score).agg(F.try_divide(area, whole).alias("roc_auc"))
 
 
-def pr_curve(df: DataFrame, truth: str, score: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def pr_curve(df: DataFrame, truth: str, score: str) -> DataFrame:
     """``threshold, precision, recall, baseline`` per distinct score."""
-    return _score_curve(df, truth, score, small_rows).select(
+    return _score_curve(df, truth, score).select(
         "threshold",
         (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
         F.try_divide("cum_pos", "all_pos").alias("recall"),
@@ -104,11 +104,11 @@ def pr_curve(df: DataFrame, truth: str, score: str, small_rows: int = SMALL_ROWS
     )
 
 
-def average_precision(df: DataFrame, truth: str, score: str, small_rows: int = SMALL_ROWS) -> DataFrame:
+def average_precision(df: DataFrame, truth: str, score: str) -> DataFrame:
     """Precision at every distinct score, weighted by the recall gained there."""
     gain = F.try_divide(F.col("pos").cast("double"), "all_pos")
     precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
-    return _score_curve(df, truth, score, small_rows).agg(F.sum(gain * precision).alias("average_precision"))
+    return _score_curve(df, truth, score).agg(F.sum(gain * precision).alias("average_precision"))
 
 
 def threshold_sweep(df: DataFrame, truth: str, score: str, thresholds: Sequence[float] = THRESHOLDS) -> DataFrame:

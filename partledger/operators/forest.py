@@ -63,7 +63,7 @@ def _train(df: DataFrame, label: str, scaler: Scaler, params: ForestParams) -> F
 
 def score(df: DataFrame, model: ForestModel) -> DataFrame:
     """Add ``fraud_probability`` and ``is_fraud``; a label column is called ``truth`` from here on."""
-    scored = model.forest.setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_p").transform(
+    scored = model.forest.copy().setPredictionCol("").setRawPredictionCol("").setProbabilityCol("_p").transform(
         _vectors(df.withColumnRenamed(DEFAULTS.label, TRUTH), model.scaler)
     )
     probability = vector_to_array("_p")[1]

@@ -18,7 +18,13 @@ from partledger.session import checkpointed
 
 MAX_RANGES = 4096  # the offset table has at most this many rows per group
 HASH_BITS = 12  # hash ranks use 2**12 ranges; md5 is uniform, so they are even
-SMALL_ROWS = 1_000_000  # a table of at most this many rows may be ordered by one task
+
+
+def null_safe_join(df: DataFrame, table: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add the other columns of ``table`` (one row per ``by``) to ``df``; null is a key like any other."""
+    renamed = table.withColumnsRenamed({c: f"_by_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
+    return df.join(renamed, same).drop(*[f"_by_{c}" for c in by])
 
 
 def _offsets(ranged: DataFrame, by: Sequence[str], sums: Sequence[str]) -> DataFrame:
@@ -45,7 +51,6 @@ def running_totals(
     sums: Sequence[str],
     by: Sequence[str] = (),
     descending: bool = False,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Add ``cum_<s>``, the running sum of each column of ``sums`` along ``order``.
 
@@ -54,12 +59,9 @@ def running_totals(
     """
     key = F.col(order).cast("double")
     keyed = df.withColumn("_key", -key if descending else key)
-    if df.count() <= small_rows:
-        whole = Window.partitionBy(*by).orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-        return keyed.withColumns({f"cum_{s}": F.sum(s).over(whole) for s in sums}).drop("_key")
     ranged = _ranged(keyed, "_key")
     inside = Window.partitionBy(*by, "_range").orderBy("_key").rowsBetween(Window.unboundedPreceding, 0)
-    placed = ranged.join(F.broadcast(_offsets(ranged, by, sums)), [*by, "_range"])
+    placed = null_safe_join(ranged, _offsets(ranged, by, sums), [*by, "_range"])
     for s in sums:
         placed = placed.withColumn(f"cum_{s}", F.col(f"_o_{s}") + F.sum(s).over(inside))
     return placed.drop("_key", "_range", *[f"_o_{s}" for s in sums])
@@ -71,13 +73,11 @@ def exact_quantiles(
     probabilities: dict[str, float],
     weight: str | None = None,
     by: Sequence[str] = (),
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Linearly interpolated quantiles, one row per ``by`` group, one column per named probability.
 
     ``weight`` says how many rows each row stands for. ``by`` groups must be few (classes, features). The
-    distinct values are counted and checkpointed once; few of them go to Spark's own ``percentile``, many to
-    running totals over value ranges.
+    distinct values are counted and checkpointed once; running totals over value ranges then find the places.
     """
     share = F.sum(weight) if weight else F.count(F.lit(1))
     counts = checkpointed(
@@ -85,13 +85,10 @@ def exact_quantiles(
         .groupBy(*by, F.col(value).cast("double").alias("_value"))
         .agg(share.cast("long").alias("_n"))
     )
-    if counts.count() <= small_rows:
-        found = [F.percentile("_value", float(p), F.col("_n")).alias(name) for name, p in probabilities.items()]
-        return counts.groupBy(*by).agg(*found)
-    ranked = running_totals(counts, "_value", ["_n"], by, small_rows=small_rows)
+    ranked = running_totals(counts, "_value", ["_n"], by)
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
     if by:
-        ranked = ranked.join(F.broadcast(totals), list(by))
+        ranked = null_safe_join(ranked, totals, by)
     else:
         ranked = ranked.withColumn("_total", totals.scalar())
 
@@ -107,15 +104,16 @@ def exact_quantiles(
             F.max(place - F.floor(place)).alias(f"_part_{name}"),
         ]
         low, high = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        results.append((low + (high - low) * F.col(f"_part_{name}")).alias(name))
+        part = F.col(f"_part_{name}")
+        results.append(F.when(part == 0, low).otherwise((1 - part) * low + part * high).alias(name))
     return ranked.groupBy(*by).agg(*picks).select(*by, *results)
 
 
 def exact_quantile(
-    df: DataFrame, value: str, p: float, weight: str | None = None, small_rows: int = SMALL_ROWS
+    df: DataFrame, value: str, p: float, weight: str | None = None
 ) -> float | None:
     """One quantile of a column as a number (null for no values); runs at once."""
-    return exact_quantiles(df, value, {"q": p}, weight, small_rows=small_rows).first()["q"]
+    return exact_quantiles(df, value, {"q": p}, weight).first()["q"]
 
 
 def hash_order(key: Column, seed: int | str = "") -> Column:
@@ -135,9 +133,9 @@ def hash_totals(
         "_range", F.conv(F.substring("_hash", 1, HASH_BITS // 4), 16, 10).cast("int")
     )
     inside = Window.partitionBy(*by, "_range").orderBy("_hash").rowsBetween(Window.unboundedPreceding, 0)
+    counted = ranged.withColumn("_inside", F.sum(amount).over(inside))
     return (
-        ranged.withColumn("_inside", F.sum(amount).over(inside))
-        .join(F.broadcast(_offsets(ranged, by, [amount])), [*by, "_range"])
+        null_safe_join(counted, _offsets(ranged, by, [amount]), [*by, "_range"])
         .withColumn(name, F.col(f"_o_{amount}") + F.col("_inside"))
         .drop("_hash", "_range", "_inside", f"_o_{amount}")
     )

@@ -238,28 +238,20 @@ def _stack(vectors: pd.Series) -> np.ndarray:
 
 
 def _nearest(n: int):
-    """Kernel: the n best right rows per left row by (cosine at 9 places, then id).
-
-    Left rows with a ``floor`` get every right row that reaches it instead; after a first search those are few,
-    since at most n rows lie above the floor and equal rows have been reduced to n.
-    """
+    """Kernel: the n best right rows per left row by (cosine at 9 places, then id), of those that reach its ``floor`` if it has one."""
 
     def kernel(left: pa.Table, right: pa.Table) -> pd.DataFrame:
         right = right.sort_by("id")
         queries, ids = left["query"].to_pandas().to_numpy(), right["id"].to_pandas().to_numpy()
         keep = min(n, len(ids))
-        sims = matrix(left["unit"]) @ matrix(right["unit"]).T
+        points = np.rint(matrix(left["unit"]) @ matrix(right["unit"]).T * 1e9).astype(np.int64)
+        order = points * -len(ids) + np.arange(len(ids))  # equal cosines: the smaller id first
+        at = np.argpartition(order, keep - 1, axis=1)[:, :keep].ravel()
+        row = np.repeat(np.arange(len(queries)), keep)
+        points = points[row, at]
         if "floor" in left.column_names:  # only hits that can still enter the list
-            row, at = np.nonzero(sims >= (left["floor"].to_numpy()[:, None] - 1) / 1e9)
-            points = np.rint(sims[row, at] * 1e9).astype(np.int64)
-            return pd.DataFrame({"query": queries[row], "other": ids[at], "points": points})
-        last = np.partition(sims, len(ids) - keep, axis=1)[:, len(ids) - keep]
-        row, at = np.nonzero(sims >= last[:, None] - 2e-9)
-        if len(row) > 4 * keep * len(queries):  # many equal cosines: pick by id here
-            order = np.rint(sims * 1e9).astype(np.int64) * -len(ids) + np.arange(len(ids))
-            row = np.repeat(np.arange(len(queries)), keep)
-            at = np.argpartition(order, keep - 1, axis=1)[:, :keep].ravel()
-        points = np.rint(sims[row, at] * 1e9).astype(np.int64)
+            good = points >= left["floor"].to_numpy()[row]
+            row, at, points = row[good], at[good], points[good]
         return pd.DataFrame({"query": queries[row], "other": ids[at], "points": points})
 
     return kernel

@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from partledger.config import DEFAULTS
-from partledger.operators.ordering import hash_order, hash_rank
+from partledger.operators.ordering import hash_order, hash_rank, null_safe_join
 
 
 def stratified_split(
@@ -18,7 +18,7 @@ def stratified_split(
     ratio: float = DEFAULTS.test_ratio,
     seed: int | str = "",
 ) -> DataFrame:
-    """Add ``split`` = train / test; exactly ``round(ratio * n)`` test rows per class.
+    """Add ``split`` = train / test; exactly ``round(ratio * n)`` test rows per class; null is a class of its own.
 
     Rows are taken in md5 order of ``key``. Without a label column the whole table is one class.
     """
@@ -27,7 +27,7 @@ def stratified_split(
     size = F.round(F.count(F.lit(1)) * F.lit(ratio).cast("decimal(10,6)"), 0).cast("long")
     if by:
         limits = df.groupBy(*by).agg(size.alias("_limit"))
-        ranked = ranked.join(F.broadcast(limits), by)  # one row per class
+        ranked = null_safe_join(ranked, limits, by)
     else:
         ranked = ranked.withColumn("_limit", df.select(size).scalar())
     split = F.when(F.col("_rank") <= F.col("_limit"), "test").otherwise("train")

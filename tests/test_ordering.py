@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from partledger.operators.ordering import exact_quantiles, hash_rank, running_totals
+from partledger.operators.sampling import repeated_folds, stratified_split
 
 
 @pytest.fixture(scope="module")
@@ -16,14 +17,13 @@ def numbers(spark):
     return spark.createDataFrame(rows, "g int, v double, w int"), groups, values, weights
 
 
-@pytest.mark.parametrize("small", [10**6, 0])
-def test_quantiles(numbers, small):
+def test_quantiles(numbers):
     df, groups, values, weights = numbers
-    found = exact_quantiles(df, "v", {"a": 0.0, "b": 0.37, "c": 0.99, "d": 1.0}, by=["g"], small_rows=small)
+    found = exact_quantiles(df, "v", {"a": 0.0, "b": 0.37, "c": 0.99, "d": 1.0}, by=["g"])
     for row in found.collect():
         wanted = np.quantile(values[groups == row.g], [0.0, 0.37, 0.99, 1.0])
         assert np.allclose([row.a, row.b, row.c, row.d], wanted, rtol=1e-12)
-    weighted = exact_quantiles(df, "v", {"p": 0.99}, weight="w", small_rows=small).first()["p"]
+    weighted = exact_quantiles(df, "v", {"p": 0.99}, weight="w").first()["p"]
     assert np.isclose(weighted, np.quantile(np.repeat(values, weights), 0.99), rtol=1e-12)
 
 
@@ -31,7 +31,7 @@ def test_quantiles(numbers, small):
 def test_running_totals_over_ranges(numbers, descending):
     df, _, values, _ = numbers
     counts = df.groupBy("v").agg(F.count("*").alias("n"))
-    rows = running_totals(counts, "v", ["n"], descending=descending, small_rows=0).collect()
+    rows = running_totals(counts, "v", ["n"], descending=descending).collect()
     for row in rows:
         wanted = (values >= row.v).sum() if descending else (values <= row.v).sum()
         assert row.cum_n == wanted
@@ -45,3 +45,12 @@ def test_hash_rank_is_a_permutation_per_group(spark):
     again = hash_rank(df.repartition(13), F.col("id"), ["g"]).toPandas()
     merged = ranked.merge(again, on="id")
     assert (merged["rank_x"] == merged["rank_y"]).all()
+
+
+def test_null_labels_keep_their_rows(spark):
+    rows = spark.createDataFrame([(i, None if i % 10 == 0 else i % 2) for i in range(100)], "claim_id int, is_fraud int")
+    split = stratified_split(rows, "claim_id", "is_fraud", 0.2)
+    assert split.count() == 100
+    assert split.where("is_fraud IS NULL AND split = 'test'").count() == 2
+    assert repeated_folds(rows, "claim_id", "is_fraud", 5, 3).count() == 300
+    assert running_totals(rows.withColumn("n", F.lit(1)), "claim_id", ["n"], by=["is_fraud"]).count() == 100

@@ -93,3 +93,15 @@ def test_few_rows_and_evaluation(spark):
     asked = recommend.recommend_batch(spark.createDataFrame([("a",), ("x",)], "claim_id string"), edges).toPandas()
     assert list(asked[asked.claim_id == "x"]["status"]) == ["unknown claim"]
     assert len(asked[asked.claim_id == "a"]) == 2
+
+
+def test_no_row_gets_more_than_its_list_from_a_block():
+    """Zero vectors have the same cosine with everything and a floor that everything reaches."""
+    import pyarrow as pa
+
+    from partledger.operators.recommend import _nearest
+
+    right = pa.table({"id": list(range(500)), "unit": [[1.0, 0.0]] * 500})
+    left = pa.table({"query": [1000, 1001], "unit": [[0.0, 0.0], [1.0, 0.0]], "floor": [-2_000_000_000, 10**9]})
+    found = _nearest(6)(left, right)
+    assert sorted(found["other"]) == sorted(list(range(6)) * 2)
