@@ -8,7 +8,7 @@ from partledger.config import DEFAULTS, FEATURES, TRUTH
 from partledger.functions import text
 from partledger.operators import baskets, chartdata, evaluate, forest, iforest, matching, merge, profile, recommend, sampling
 from partledger.plans import lookups, oracle, training
-from partledger.plans.catalog_tables import CODE, CLAIM, CODES, LABEL, PART, settled
+from partledger.plans.catalog_tables import CODE, CLAIM, CODES, LABEL, PART, codes_of, settled
 from partledger.plans.oracle import MASKS, claims, matches, rnd
 from partledger.plans.registry import query
 from partledger.plans.workspace import QUERY_GRID, SCORED_ORDERS_SQL, Workspace
@@ -191,7 +191,8 @@ def basket_table(w: Workspace) -> DataFrame:
     ),
 )
 def one_hot(w: Workspace) -> DataFrame:
-    return _pairs(w).groupBy("claim").pivot("item", CODES).agg(F.max(F.lit(1))).fillna(0)
+    pairs = _pairs(w)
+    return pairs.groupBy("claim").pivot("item", codes_of(pairs, "item")).agg(F.max(F.lit(1))).fillna(0)
 
 
 def _itemsets(w: Workspace) -> baskets.Itemsets:
@@ -353,9 +354,10 @@ def recommender_eval(w: Workspace) -> DataFrame:
 @query("claim_pair_similarity")
 def claim_pair_similarity(w: Workspace) -> DataFrame:
     """Nearest claims by the plain amounts per part code, without projection."""
-    codes = F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in CODES])
     inter = recommend.interaction_table(w.rows, CODE, weight=merge.FANOUT)
-    wide = inter.groupBy("claim_id").pivot("part", CODES).agg(F.sum("amount"))
+    names = codes_of(inter, "part")
+    wide = inter.groupBy("claim_id").pivot("part", names).agg(F.sum("amount"))
+    codes = F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in names])
     return recommend.top_similar(wide.select("claim_id", codes.alias("vec"))).drop("score")
 
 

@@ -22,7 +22,7 @@ PART, GARAGE_PART, CLAIM, AMOUNT, CODE, LABEL = (
     DEFAULTS.part_code,
     DEFAULTS.label,
 )
-CODES = [f"P{i:03d}" for i in range(1, 9)]
+CODES = [f"P{i:03d}" for i in range(1, 9)]  # only for the SQL texts: a code beyond these shows up as a difference
 SYNONYMS = {"wdgt": "widget", "gr": "gear", **text.PART_SYNONYMS}
 
 FEATURE_PLACES = {
@@ -405,6 +405,15 @@ def part_amount_agg(w: Workspace) -> DataFrame:
     return settled(w.interactions, {"amount": 2})
 
 
+def codes_of(df: DataFrame, column: str) -> list[str]:
+    """Every part code that occurs; a table with a column for each needs a bounded number of them."""
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = [r[0] for r in df.select(column).where(F.col(column).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{column} has more than {most} values, too many for columns")
+    return sorted(found)
+
+
 @query(
     "pivot_claim_part",
     claims(
@@ -417,7 +426,8 @@ def part_amount_agg(w: Workspace) -> DataFrame:
 )
 def pivot_claim_part(w: Workspace) -> DataFrame:
     cells = w.rows.withColumn("x", F.col(AMOUNT) * F.col(merge.FANOUT))
-    return settled(cells.groupBy(CLAIM).pivot(CODE, CODES).agg(F.sum("x")).fillna(0.0), {c: 2 for c in CODES})
+    codes = codes_of(cells, CODE)
+    return settled(cells.groupBy(CLAIM).pivot(CODE, codes).agg(F.sum("x")).fillna(0.0), {c: 2 for c in codes})
 
 
 @query("distinct_parts", claims("SELECT name FROM survey_names"))
