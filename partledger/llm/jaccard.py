@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from partledger.llm.common import (
-    LOWER, MIX, checkpointed, components, flat, mixed, slices, span_hashes, start, table, word_counts, word_spans,
+    LOWER, MIX, checkpointed, components, flat, maybe_in, mixed, slices, span_hashes, start, table, word_counts, word_spans,
 )
 
 WORDS = 5  # in a shingle
@@ -87,8 +87,8 @@ def _set_rows(words: int):
 
 
 def _prefix(n: np.ndarray, missing: Fraction) -> np.ndarray:
-    """Smallest hashes of a set that are looked at: what may be missing from a partner, one more, and a sixteenth."""
-    return np.minimum(n, n * missing.numerator // missing.denominator + 1 + n // 16)
+    """Smallest hashes of a set that are looked at: what may be missing from a partner, one more, and an eighth."""
+    return np.minimum(n, n * missing.numerator // missing.denominator + 1 + n // 8)
 
 
 def _prefix_rows(words: int, missing: Fraction):
@@ -149,15 +149,15 @@ def _candidates(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, D
     sets = checkpointed(docs.select("row", "text").mapInArrow(_set_rows(words), "row bigint, n bigint, name bigint"))
     rows = docs.select("text").mapInArrow(_prefix_rows(words, missing), "h bigint, name bigint, n int")
     # Smallest-hash prefixes: of two linked sets the one whose prefix ends first holds at most its missing share of shingles
-    # that the other lacks, so both see at least a sixteenth of its size, and one more, in both prefixes. Copies only
+    # that the other lacks, so both see at least an eighth of its size, and one more, in both prefixes. Copies only
     # make the filter let more through.
     often = checkpointed(rows.select("h").groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("h"))
     partner = F.ceil(F.col("n") * percent / 100)
     hits = rows.join(often, "h").groupBy("name", "n").agg(F.count(F.lit(1)).alias("hits"))
     copies = sets.groupBy("name").agg(F.count(F.lit(1)).alias("copies"), F.min("row").alias("row"))
-    likely = hits.join(copies, "name").where(F.col("hits") >= F.col("copies") * (1 + F.floor(partner / 16))).select("row", "name")
+    likely = hits.join(copies, "name").where(F.col("hits") >= F.col("copies") * (1 + F.floor(partner / 8))).select("row", "name")
     likely = checkpointed(likely)
-    arrays = docs.select("row", "text").join(likely, "row").dropDuplicates(["name"]).select("name", "text").mapInArrow(_array_rows(words), "name bigint, n bigint, hs array<bigint>")
+    arrays = maybe_in(docs.select("row", "text"), likely, "row").join(likely, "row").dropDuplicates(["name"]).select("name", "text").mapInArrow(_array_rows(words), "name bigint, n bigint, hs array<bigint>")
     return sets, checkpointed(arrays)
 
 
