@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
@@ -14,7 +15,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from partledger.llm.common import slices, start, table
 
-MAX_KNOWN = 400_000  # pieces whose tokens a worker remembers; beyond that it forgets them all and goes on
+MAX_KNOWN = 700_000  # pieces whose tokens a worker remembers; beyond that it forgets them all and goes on
 QUERY_BYTES = 1 << 19  # about so many bytes of new pieces go into one recursive query
 SHORT_BYTES = 32  # pieces up to here take one contraction a round
 DECODE_IDS = 1 << 18  # about so many ids go into one decoding query
@@ -71,7 +72,7 @@ class Coder:
 
         self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines.splitlines())}
         self.split = regex.compile(pattern).findall
-        self.known: dict[str, list[int]] = {}
+        self._forget()
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
         lowest: dict[int, int] = {}
         rows = []
@@ -85,6 +86,15 @@ class Coder:
         self._table("merges", a=a, b=b, merged=merged, safe=pa.array([lowest.get(m, m) >= m for _, _, m in rows], pa.bool_()))
         self._table("vocabulary", token=pa.array(self.ranks.values(), pa.int32()), hexed=pa.array([t.hex() for t in self.ranks]))
 
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}  # number of each piece; its tokens stand in ``tokens`` from ``at`` on
+        self.tokens, self.at = array("i"), array("q", [0])
+
+    def _keep(self, piece: str, tokens: list[int]) -> None:
+        self.known[piece] = len(self.known)
+        self.tokens.extend(tokens)
+        self.at.append(len(self.tokens))
+
     def _table(self, name: str, **columns: pa.Array) -> None:
         self.db.register("incoming", pa.table(columns))
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
@@ -97,7 +107,7 @@ class Coder:
             data = piece.encode("utf-8", "replace")
             token = self.ranks.get(data)
             if token is not None:
-                self.known[piece] = [token]
+                self._keep(piece, [token])
             else:
                 (short if len(data) <= SHORT_BYTES else long).append((piece, data))
         for kind in (short, long):
@@ -112,18 +122,25 @@ class Coder:
         token = np.array(one, np.int32)[np.frombuffer(b"".join(run), np.uint8)]
         self._table("symbols", piece=pa.array(piece), pos=pa.array(pos), token=pa.array(token))
         found = self.db.execute(ENCODE if lengths.max() <= SHORT_BYTES else ENCODE_LONG).fetchall()
-        self.known.update((names[p], tokens) for p, tokens in found)
+        for p, tokens in found:
+            self._keep(names[p], tokens)
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offset of each text."""
         split = [self.split(t) if t else [] for t in texts]
-        distinct = set().union(*split)
-        if len(self.known) + len(distinct) > MAX_KNOWN:
-            self.known.clear()
-        self._learn([p for p in distinct if p not in self.known])
-        ids = [list(chain.from_iterable(map(self.known.__getitem__, pieces))) for pieces in split]
-        offsets = np.cumsum([0, *map(len, ids)])
-        return np.fromiter(chain.from_iterable(ids), np.int32, offsets[-1]), offsets
+        pieces = list(chain.from_iterable(split))
+        distinct = set(pieces)
+        missing = distinct.difference(self.known)
+        if missing and len(self.known) + len(missing) > MAX_KNOWN:
+            self._forget()
+            missing = distinct
+        self._learn(list(missing))
+        number = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        at = np.array(self.at, np.int64)
+        first, size = at[number], at[number + 1] - at[number]
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids = np.array(self.tokens, np.int32)[np.arange(ends[-1]) + np.repeat(first - ends[:-1], size)]
+        return ids, ends[np.cumsum([0, *map(len, split)])]
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> list[bytes]:
         """The bytes of each run of ids."""
