@@ -145,9 +145,23 @@ class Ranges:
     def place(self, right: bytes, left: bytes) -> tuple[int, int, int]:
         """Range of a leaf and its common prefix with the cuts below and above (0 if less than a name)."""
         k = bisect.bisect_right(self.cuts, (right, left))
-        low = _common(right, self.cuts[k - 1][0]) if k and right[: self.gram] == self.cuts[k - 1][0][: self.gram] else 0
-        high = _common(right, self.cuts[k][0]) if k < len(self.cuts) and right[: self.gram] == self.cuts[k][0][: self.gram] else 0
-        return k, low, high
+        return k, self._meets(k - 1, right) if k else 0, self._meets(k, right) if k < len(self.cuts) else 0
+
+    def _meets(self, k: int, right: bytes) -> int:
+        cut, back = self.cuts[k]
+        if right[: self.gram] != cut[: self.gram] or (len(cut) == self.gram and not back):
+            return 0  # a cut before all leaves of a name crosses no interval
+        return _common(right, cut)
+
+    @staticmethod
+    def between(sample: list[tuple[bytes, bytes]], parts: int, gram: int) -> list[tuple[bytes, bytes]]:
+        """Cuts at quantiles of a sorted sample, moved to where a name begins; only names that fill more than a range are cut inside."""
+        cuts: set[tuple[bytes, bytes]] = set()
+        for k in range(1, parts):
+            leaf = sample[k * len(sample) // parts]
+            begin = (leaf[0][:gram], b"")
+            cuts.add(leaf if begin in cuts else begin)
+        return sorted(cuts)
 
     def learn(self, seen: list[tuple[int, int]], least: int) -> None:
         """``seen``: cut and common prefix of leaves next to it. A leaf farther off meets a cut through those between."""
@@ -323,7 +337,7 @@ def _tree_reach(leaves: DataFrame, long: int, gram: int, range_rows: int) -> Dat
     if parts > 1:
         share = leaves.select("right", "left").orderBy(F.xxhash64("name", "context", F.lit(3))).limit(8 * parts).collect()
         sample = sorted((bytes(r["right"]), bytes(r["left"])) for r in share)
-        cuts = sorted({sample[k * len(sample) // parts] for k in range(1, parts)})
+        cuts = Ranges.between(sample, parts, gram)
     ranges = Ranges(cuts, gram)
     schema = "part int, low int, high int, name bigint, context bigint, right binary, left binary"
     if cuts:
