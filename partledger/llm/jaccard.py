@@ -121,7 +121,7 @@ def _shared_enough(sets: DataFrame, percent: int) -> DataFrame:
     ``hs`` keeps the shared shingles only, those in fewest sets first; a set's own count in ``n`` alone.
     """
     rows = sets.select("name", "n", F.explode("hs").alias("h"))
-    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    often = checkpointed(rows.groupBy("h").agg(F.count(F.lit(1)).alias("k")).where("k > 1"))
     ordered = F.transform(F.sort_array(F.collect_list(F.struct("k", "h"))), lambda x: x["h"])
     mine = rows.join(often, "h").groupBy("name").agg(F.first("n").alias("n"), ordered.alias("hs"))
     return mine.where(F.size("hs") * 100 >= F.col("n") * percent)
@@ -327,7 +327,8 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 def smallest_ids(grouped: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id``: the smallest id of the component; a text that links with nothing keeps its own."""
     stored = checkpointed(grouped)
-    least = stored.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least"))
+    # a stored table, so that Spark may split a very large component in the join
+    least = checkpointed(stored.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("least")))
     joined = stored.join(least, "component", "left")
     return joined.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
 

@@ -371,7 +371,8 @@ def repeated_spans(texts: DataFrame, long: int = LONG, gram: int = GRAM, range_r
     found = checkpointed(
         texts.select("row", "text").mapInArrow(_anchor_rows(long, gram), "row bigint, pos int, name bigint, context bigint, left smallint, right smallint")
     )
-    often = found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name")
+    # a stored table, so that Spark may split the rows of a very frequent name in the join
+    often = checkpointed(found.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("name"))
     shared = checkpointed(found.join(often, "name"))
     least = F.min(F.struct("row", "pos", "left", "right"))
     classes = checkpointed(shared.groupBy("name", "context").agg(F.count(F.lit(1)).alias("n"), least.alias("one")))

@@ -208,6 +208,20 @@ def _some(w: Windows, rows: np.ndarray) -> tuple[Windows, np.ndarray]:
     return Windows(w.word[used], gram, np.concatenate([[0], np.cumsum(size)]), at, w.doc[rows]), at
 
 
+def _all_windows(data: np.ndarray, offsets: np.ndarray) -> Windows:
+    """As ``windows_of``, a run of texts at a time, which takes less memory; a word counts as another in each run."""
+    parts = [(a, windows_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])) for a, b in slices(offsets)]
+    words = np.cumsum([0, *(len(w.word) for _, w in parts)])
+    grams = np.cumsum([0, *(len(w.gram) for _, w in parts)])
+    return Windows(
+        np.concatenate([w.word for _, w in parts]),
+        np.concatenate([w.gram for _, w in parts]),
+        np.concatenate([*(w.gram_at[:-1] + g for (_, w), g in zip(parts, grams)), grams[-1:]]),
+        np.concatenate([np.where(w.at < 0, -1, w.at + k).astype(np.int32) for (_, w), k in zip(parts, words)]),
+        np.concatenate([w.doc + a for a, w in parts]),
+    )
+
+
 def fit(texts: list[str], toxic: np.ndarray, seed: int = 7, rounds: int = 8, batch: int = 512, rate: float = 0.01) -> Network:
     """Train on labelled texts.
 
@@ -218,7 +232,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7, rounds: int = 8, bat
     if len(set(toxic.tolist())) < 2:  # nothing to tell apart: no text is toxic, or every one with words is
         net.p["shift"][:] = -1e9 if toxic.any() else 1e9
         return net
-    w = windows_of(*flat(pa.array(texts, pa.string())))
+    w = _all_windows(*flat(pa.array(texts, pa.string())))
     back = np.zeros(len(texts), bool)
     back[draw.permutation(len(texts))[: len(texts) // 10]] = True
     usable = np.flatnonzero(~back[w.doc])
