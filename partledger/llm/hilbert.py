@@ -1,8 +1,9 @@
-"""Approximate nearest neighbours along several shifted Hilbert curves of projected vectors.
+"""Exact nearest neighbours, found first along several shifted Hilbert curves of projected vectors.
 
 Each curve turns the vectors by its own random rotation, keeps the first few axes, shifts and cuts them into cells, and orders
 the cells along a Hilbert curve. Spark range-partitions the vectors by that order. Every query looks at a window of
-neighbours in each order, measured exactly, and the nearest of all windows are merged.
+neighbours in each order, measured exactly, and the nearest of all windows are merged. The first order is also cut into balls
+(centre, radius): a query then visits every ball that may hold a nearer vector than the last it has found.
 """
 
 from __future__ import annotations
@@ -10,15 +11,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from partledger.llm.common import checkpointed, running_total, start, table
+from partledger.operators.blocks import block_join, matrix
 
 CURVES = 12
 AXES, BITS = 10, 6  # of a key
 WINDOW = 4096  # neighbours on each side of a query in each order
 BLOCK_ROWS = 8192  # neighbours in an order that one task holds
+BALL_ROWS = 4096  # neighbours in the first order that share a centre and radius
+TILE = 1 << 21  # distances that a task holds at once
 SAMPLE = 20_000  # vectors that the axes are fitted on
 
 
@@ -120,18 +125,76 @@ def _first(far: np.ndarray, names: np.ndarray, keep: int) -> np.ndarray:
     return close[np.lexsort((names[close], far[close]))][:keep]
 
 
+def _ball(rows: pa.Table) -> pa.Table:
+    """Centre of some vectors, and how far the farthest is from it."""
+    points = _matrix(rows["vec"], len(rows))
+    centre = points.mean(axis=0)
+    radius = np.sqrt(((points - centre) ** 2).sum(axis=1)).max()
+    return pa.table({"cell": rows["cell"][:1], "centre": pa.array([centre], pa.list_(pa.float64())), "radius": [radius]})
+
+
+def _nearer(keep: int):
+    """Kernel: the nearest classes of each query in a ball, of those not farther than the query's ``limit``.
+
+    Products tell which vectors may be among them, up to rounding; those are measured as the windows measure.
+    """
+
+    def kernel(left: pa.Table, right: pa.Table) -> pd.DataFrame:
+        asker, limit, names = left["asker"].to_numpy(), left["limit"].to_numpy(), right["cid"].to_numpy()
+        ask, points = matrix(left["vec"]), matrix(right["vec"])
+        own, other = (ask * ask).sum(axis=1), (points * points).sum(axis=1)
+        query, near, score = [], [], []
+        step = max(1, TILE // len(points))
+        for first in range(0, len(ask), step):
+            some = slice(first, first + step)
+            square = own[some, None] + other - 2.0 * (ask[some] @ points.T)
+            slack = 1e-14 * (ask.shape[1] + 8) * (own[some] + other.max())
+            edge = np.square(limit[some])
+            if len(points) > keep:
+                edge = np.minimum(edge, np.partition(square, keep - 1, axis=1)[:, keep - 1])
+            for k, close in enumerate(~(square > (edge + 2 * slack)[:, None])):
+                close = np.flatnonzero(close)
+                gap = points[close] - ask[first + k]
+                far = np.sqrt((gap * gap).sum(axis=1))
+                best = np.lexsort((names[close], far))[:keep]
+                query.append(np.full(len(best), asker[first + k]))
+                near.append(names[close][best])
+                score.append(far[best])
+        return pd.DataFrame({"asker": np.concatenate(query), "cid": np.concatenate(near), "score": np.concatenate(score)})
+
+    return kernel
+
+
+def _beyond(near: DataFrame, order: DataFrame, vec: DataFrame, known: DataFrame, keep: int) -> DataFrame:
+    """``asker, cid, score``: what the windows may have missed, from every ball that reaches into a query's ``keep``-th distance.
+
+    A ball's vectors are at least as far from a query as its centre, less its radius; a query with fewer than ``keep`` visits all.
+    """
+    place = F.row_number().over(Window.partitionBy("asker").orderBy("score", "cid"))
+    last = near.withColumn("n", place).where(F.col("n") == keep).select(F.col("asker").alias("cid"), F.col("score").alias("limit"))
+    placed = order.where("curve = 0").select("cid", F.floor(F.col("pos") / BALL_ROWS).cast("int").alias("cell")).join(vec, "cid")
+    placed = checkpointed(placed)
+    balls = placed.groupBy("cell").applyInArrow(_ball, "cell int, centre array<double>, radius double")
+    asks = known.select("cid").distinct().join(vec, "cid").join(last, "cid", "left")
+    asks = asks.select(F.col("cid").alias("asker"), "vec", F.coalesce("limit", F.lit(float("inf"))).alias("limit"))
+    squares = F.aggregate(F.zip_with("vec", "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x)
+    within = F.sqrt(squares) * (1 - 1e-9) <= (F.col("limit") + F.col("radius")) * (1 + 1e-9)
+    probes = checkpointed(asks.crossJoin(F.broadcast(checkpointed(balls))).where(within).select("asker", "vec", "limit", "cell"))
+    return block_join(probes, placed, "asker", "cid", _nearer(keep), "asker bigint, cid bigint, score double", BALL_ROWS)
+
+
 def neighbours(
     vectors: DataFrame, asks: Column, k: int = 10, curves: int = CURVES, axes: int = AXES, bits: int = BITS,
     window: int = WINDOW, id_col: str = "vec_id", vec_col: str = "embedding",
 ) -> DataFrame:
-    """``query_id, rank, vec_id, score``: up to ``k`` nearest ``vectors`` found for every row for which ``asks`` holds.
+    """``query_id, rank, vec_id, score``: the ``k`` nearest ``vectors`` of every row for which ``asks`` holds.
 
     ``score`` is the Euclidean distance in double precision; ties go to the smaller id, a row is never its own neighbour.
     Vectors that are null, zero or hold null or non-finite components, and null ids, take no part. Vectors of different
     lengths are never neighbours. Equal vectors stand in the orders once, with their ``k + 1`` smallest ids, which is all
     that can be returned; so copies neither fill windows nor one task. Repeated rows count once. Every vector is in every
-    order; only the axes are fitted on a sample. With at most ``window`` other distinct vectors the result is exact, beyond
-    that recall is to be measured. An empty table gives an empty result.
+    order; only the axes are fitted on a sample. The result is exact for every size, window and number of curves: these decide
+    how near the first finds are, so how many balls a query visits after them. An empty table gives an empty result.
     """
     spark = vectors.sparkSession
     start(spark)
@@ -172,6 +235,8 @@ def _search(classes: DataFrame, known: DataFrame, k: int, curves: int, axes: int
     reach = F.sequence(F.floor((F.col("pos") - window) / BLOCK_ROWS), F.floor((F.col("pos") + window) / BLOCK_ROWS))
     asks = placed.join(known.select("cid").distinct(), "cid").select("curve", F.explode(reach).alias("block"), "pos", "cid", F.lit(True).alias("asks"))
     near = there.unionByName(asks).join(vec, "cid").groupBy("curve", "block").applyInArrow(_block(k + 1, window), "asker bigint, cid bigint, score double")
+    near = checkpointed(near.groupBy("asker", "cid").agg(F.min("score").alias("score")))
+    near = near.unionByName(_beyond(near, placed, vec, known, k + 1))
     near = near.groupBy("asker", "cid").agg(F.min("score").alias("score")).join(classes.select("cid", "ids"), "cid")
     rank = F.row_number().over(Window.partitionBy("asker").orderBy("score", "vec_id"))
     members = near.select("asker", "score", F.explode("ids").alias("vec_id")).withColumn("n", rank).where(F.col("n") <= k + 1)

@@ -212,6 +212,19 @@ def test_recall_against_brute_force(spark):
     assert hits >= 0.9 * 600
 
 
+@pytest.mark.parametrize("size", [2000, 9000])
+def test_neighbours_beyond_the_windows(spark, size):
+    draw = np.random.default_rng(size)
+    points = draw.normal(size=(size, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>")
+    found = hilbert.neighbours(table, F.col("vec_id") % 100 == 0, curves=2, window=30).toPandas().sort_values("rank")
+    mine = found.groupby("query_id")["vec_id"].agg(list)
+    for q in range(0, size, 100):
+        far = ((points - points[q]) ** 2).sum(axis=1)
+        far[q] = np.inf
+        assert mine[q] == np.argsort(far, kind="stable")[:10].tolist()
+
+
 def toxic_texts(draw, n):
     words = ["".join(draw.choice("abcdefghijk") for _ in range(draw.randint(2, 7))) for _ in range(500)]
     rows = []
