@@ -6,6 +6,7 @@ import itertools
 import json
 import math
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
@@ -17,6 +18,7 @@ from partledger.config import DEFAULTS, FEATURES, TRUTH
 from partledger.operators.evaluate import best_threshold, binary_metrics, roc_auc, threshold_sweep
 from partledger.operators.sampling import Scaler, apply_scaler, class_weights, fit_scaler
 
+FITS_AT_ONCE = 4  # folds; the driver holds as many forests
 MAX_DEPTH = 30  # the deepest tree Spark grows; stands for "no limit"
 CV_METRICS = ("accuracy", "precision", "recall", "f1_score", "roc_auc")
 
@@ -100,16 +102,19 @@ def cross_validate(
     """
     scaler = fit_scaler(folds, features)
     places = [(r["repeat"], r["fold"]) for r in folds.select("repeat", "fold").distinct().orderBy("repeat", "fold").collect()]
-    results = []
-    for repeat, fold in places:
+
+    def held_out(place: tuple[int, int]) -> dict:
+        repeat, fold = place
         mine = folds.where(F.col("repeat") == repeat)
         model = _train(mine.where(F.col("fold") != fold), label, scaler, params)
         scored = score(mine.where(F.col("fold") == fold), model)
         line = {"repeat": repeat, "fold": fold, **binary_metrics(scored, TRUTH, "is_fraud").first().asDict()}
         if "roc_auc" in metrics:
             line["roc_auc"] = roc_auc(scored, TRUTH, "fraud_probability").first()["roc_auc"]
-        results.append({k: v for k, v in line.items() if k in ("repeat", "fold", *metrics)})
-    return results
+        return {k: v for k, v in line.items() if k in ("repeat", "fold", *metrics)}
+
+    with ThreadPoolExecutor(FITS_AT_ONCE) as pool:
+        return list(pool.map(held_out, places))
 
 
 def fold_table(spark: SparkSession, results: list[dict]) -> DataFrame:

@@ -12,11 +12,11 @@ from partledger.operators import features, forest, iforest, matching, merge, rec
 from partledger.session import checkpointed, shared_folder, ship_package
 from partledger.sources import views
 
-# Query-sized forest settings; the published ones (300 trees, depth 12, 5 x 3 folds) are in ``Settings``.
-QUERY_FOREST = forest.ForestParams(trees=20, depth=6)
-QUERY_GRID = {"trees": [10], "depth": [4, 6], "min_split": [2, 5]}
-QUERY_REPEATS = 1
-QUERY_SPLITS = 3
+# The published job, as in ``Settings``: 300 trees of depth 12, 36 grid points, 5 x 3 folds.
+QUERY_FOREST = forest.ForestParams()
+QUERY_GRID = DEFAULTS.grid
+QUERY_REPEATS = DEFAULTS.cv_repeats
+QUERY_SPLITS = DEFAULTS.cv_splits
 
 
 class Workspace:

@@ -78,3 +78,12 @@ def test_quotes(spark):
     quotes = spark.createDataFrame([(0.5, 1), (90.0, 3)], "total_amount double, part_count int")
     found = lookups.score_quotes(quotes, model).toPandas()
     assert set(found["status"]) <= {"SUSPICIOUS", "NORMAL"} and found.loc[1, "status"] == "SUSPICIOUS"
+
+
+def test_queries_run_the_published_job():
+    from partledger.config import DEFAULTS
+    from partledger.plans import workspace
+
+    assert workspace.QUERY_FOREST == forest.ForestParams() and workspace.QUERY_FOREST.trees == 300 and workspace.QUERY_FOREST.depth == 12
+    assert len(forest.grid_points(workspace.QUERY_GRID)) == 36 and workspace.QUERY_GRID == DEFAULTS.grid
+    assert workspace.QUERY_SPLITS * workspace.QUERY_REPEATS == 15
