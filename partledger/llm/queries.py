@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partledger.llm import bpe, chat, hilbert, jaccard, language, mixing, quality, suffixes, toxicity, url_filter
+from partledger.llm import bpe, chat, hilbert, jaccard, language, mixing, quality, substrings, suffixes, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_suffix_array_dedup": suffixes.op9_suffix_array_dedup,
     "op10_hilbert_neighbours": hilbert.op10_hilbert_neighbours,
+    "op12_substring_dedup": substrings.op12_substring_dedup,
 }
 ORACLES = {
     "op8_chat_formatting": chat.ORACLE_SQL,
