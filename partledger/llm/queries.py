@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from partledger.llm import bpe, chat, hilbert, jaccard, language, mixing, quality, substrings, suffixes, toxicity, url_filter
+from partledger.llm import alignment, bpe, chat, hilbert, jaccard, language, mixing, periods, quality, substrings, suffixes, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -15,7 +15,9 @@ QUERIES = {
     "op8_chat_formatting": chat.op8_chat_formatting,
     "op9_suffix_array_dedup": suffixes.op9_suffix_array_dedup,
     "op10_hilbert_neighbours": hilbert.op10_hilbert_neighbours,
+    "op11_tokenizer_alignment": alignment.op11_tokenizer_alignment,
     "op12_substring_dedup": substrings.op12_substring_dedup,
+    "op13_periodic_runs": periods.op13_periodic_runs,
 }
 ORACLES = {
     "op8_chat_formatting": chat.ORACLE_SQL,
