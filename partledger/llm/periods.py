@@ -257,12 +257,19 @@ def find_runs(docs: DataFrame, least: int = LEAST, text: Column | None = None) -
 def planted() -> Column:
     """The text of the query: every tenth document, by the checksum of its id, repeats its words with a period from some word on."""
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n, h = F.size(words), F.crc32(F.col("doc_id").cast("string"))
+    h = F.crc32(F.col("doc_id").cast("string"))
     g = F.floor(h / 10)
-    a = g % n
-    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
-    at = F.transform(F.sequence(F.lit(0).cast("long"), n.cast("long") - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
-    return F.when((h % 10 == 0) & (n > 0), F.array_join(at, " ")).otherwise(F.col("text"))
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w).cast("long")
+        a = g % n
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(w, (a + 1).cast("int"), p.cast("int")), times))
+        return F.array_join(F.concat(F.slice(w, F.lit(1), a.cast("int")), F.slice(tail, F.lit(1), (n - a).cast("int"))), " ")
+
+    # the words are bound to a variable, so that they are split once
+    return F.when((h % 10 == 0) & (F.length("text") > 0), F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, repeated(w)))[0]).otherwise(F.col("text"))
 
 
 def op13_periodic_runs(spark, sf_dir: str) -> DataFrame:
