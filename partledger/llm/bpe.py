@@ -5,8 +5,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from array import array
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +15,11 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, S
 
 from partledger.llm.common import slices, start, table
 
-MAX_KNOWN = 700_000  # pieces whose tokens a worker remembers; beyond that it forgets them all and goes on
-QUERY_BYTES = 1 << 19  # about so many bytes of new pieces go into one recursive query
+KNOWN_BYTES = 96 << 20  # about what a worker takes to remember the tokens of pieces; beyond that it forgets them all and goes on
+PIECE_BYTES = 180  # what a remembered piece takes beside its letters and tokens
+QUERY_BYTES = 1 << 18  # about so many bytes of new pieces go into one recursive query
+QUERY_MB = 200  # memory of DuckDB; a longer piece gets LONG_BYTES for each of its bytes
+LONG_BYTES = 600
 SHORT_BYTES = 32  # pieces up to here take one contraction a round
 DECODE_IDS = 1 << 18  # about so many ids go into one decoding query
 SLICE_CHARS = 1 << 19
@@ -39,25 +42,32 @@ WITH RECURSIVE work(round, piece, pos, token) AS (
 SELECT piece, list(token ORDER BY pos) AS tokens
 FROM work JOIN (SELECT piece, max(round) AS round FROM work GROUP BY piece) USING (piece, round) GROUP BY piece"""
 
-# The same for long pieces. ``safe``: no merge with the new token has a lower rank, so all places of a piece's lowest pair
-# may be contracted in the same round (of overlapping ones every other), which gives what one place a round would give.
+# The same for long pieces, many contractions a round. A pair of rank r may be contracted at once if no pair of lower rank stands so
+# near that tokens growing from there by lower merges could touch it: ``reach`` is the longest token of lower rank. Of pairs of rank
+# r near each other only the first is, or, if no merge with the new token has a lower rank (``safe``), every other one of a
+# row of overlapping pairs from its start on. So the order that one contraction a round has is kept where it matters.
+# The keyed recursion holds one row a place and meets the pieces that have just changed; a contracted pair's second token becomes -1.
 ENCODE_LONG = """
-WITH RECURSIVE work(round, piece, pos, token) AS (
-  SELECT 0, piece, pos, token FROM symbols
-  UNION ALL
-  SELECT round + 1, piece, pos, CASE WHEN taken THEN merged ELSE token END FROM (
+WITH RECURSIVE work(piece, pos, token) USING KEY (piece, pos) AS (
+  SELECT piece, pos, token FROM symbols
+  UNION
+  SELECT piece, pos, CASE WHEN eaten THEN -1 WHEN taken THEN merged ELSE token END FROM (
     SELECT *, coalesce(lag(taken) OVER (PARTITION BY piece ORDER BY pos), false) AS eaten FROM (
-      SELECT *, hit AND (nth = 1 OR safe AND row_number() OVER (PARTITION BY piece, hit, place - nth ORDER BY pos) % 2 = 1) AS taken
-      FROM (
-        SELECT *, row_number() OVER (PARTITION BY piece, hit ORDER BY pos) AS nth FROM (
-          SELECT *, coalesce(merged = lowest, false) AS hit FROM (
-            SELECT w.*, m.merged, m.safe, min(m.merged) OVER (PARTITION BY w.piece) AS lowest
-            FROM (SELECT *, lead(token) OVER seq AS follower, row_number() OVER seq AS place FROM work WINDOW seq AS (PARTITION BY piece ORDER BY pos)) w
-            LEFT JOIN merges m ON m.a = w.token AND m.b = w.follower)
-          WHERE lowest IS NOT NULL))))
-  WHERE NOT eaten)
-SELECT piece, list(token ORDER BY pos) AS tokens
-FROM (SELECT *, max(round) OVER (PARTITION BY piece) AS last FROM work) WHERE round = last GROUP BY piece"""
+      SELECT *, hit AND (low = pair OR safe AND NOT first_value(follows) OVER island AND row_number() OVER island % 2 = 1) AS taken FROM (
+        SELECT *, place - row_number() OVER (PARTITION BY piece, hit ORDER BY pos) AS island FROM (
+          SELECT *, coalesce(low >> 32 = merged, false) AS hit, coalesce(lag(merged) OVER (PARTITION BY piece ORDER BY pos) = merged, false) AS follows
+          FROM (
+            SELECT *, max(merged) OVER (PARTITION BY piece) AS any_pair, min(pair) OVER (
+              PARTITION BY piece ORDER BY pos RANGE BETWEEN coalesce(greatest(reach, back), 0) PRECEDING AND coalesce(reach + size, 0) FOLLOWING) AS low
+            FROM (
+              SELECT w.*, m.merged, m.safe, m.reach, m.size, m.merged::BIGINT << 32 | w.pos AS pair
+              FROM (SELECT piece, pos, token, lead(token) OVER seq AS follower, row_number() OVER seq AS place, pos - lag(pos, 1, pos) OVER seq AS back
+                    FROM recurring.work WHERE token >= 0 AND piece IN (SELECT piece FROM work) WINDOW seq AS (PARTITION BY piece ORDER BY pos)) w
+              LEFT JOIN merges m ON m.a = w.token AND m.b = w.follower))
+          WHERE any_pair IS NOT NULL))
+      WINDOW island AS (PARTITION BY piece, hit, island ORDER BY pos)))
+  WHERE taken OR eaten)
+SELECT piece, list(token ORDER BY pos) AS tokens FROM work WHERE token >= 0 GROUP BY piece"""
 
 DECODE = """
 SELECT doc, unhex(string_agg(hexed, '' ORDER BY pos)) AS bytes FROM ids JOIN vocabulary USING (token) GROUP BY doc"""
@@ -73,25 +83,31 @@ class Coder:
         self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines.splitlines())}
         self.split = regex.compile(pattern).findall
         self._forget()
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": f"{QUERY_MB}MB", "temp_directory": ""})
         lowest: dict[int, int] = {}
         rows = []
+        reach = list(accumulate((len(t) for t, _ in sorted(self.ranks.items(), key=lambda x: x[1])), max, initial=0))
+        order = {r: k for k, r in enumerate(sorted(self.ranks.values()))}
         for token, rank in self.ranks.items():
             for i in range(1, len(token)):
                 a, b = self.ranks.get(token[:i]), self.ranks.get(token[i:])
                 if a is not None and b is not None:
-                    rows.append((a, b, rank))
+                    rows.append((a, b, rank, reach[order[rank]], len(token)))
                     lowest[a], lowest[b] = min(rank, lowest.get(a, rank)), min(rank, lowest.get(b, rank))
-        a, b, merged = (pa.array(x, pa.int32()) for x in zip(*rows)) if rows else [pa.array([], pa.int32())] * 3
-        self._table("merges", a=a, b=b, merged=merged, safe=pa.array([lowest.get(m, m) >= m for _, _, m in rows], pa.bool_()))
+        columns = (pa.array(x, pa.int32()) for x in (zip(*rows) if rows else [[]] * 5))
+        safe = pa.array([lowest.get(r[2], r[2]) >= r[2] for r in rows], pa.bool_())
+        self._table("merges", **dict(zip(("a", "b", "merged", "reach", "size"), columns)), safe=safe)
         self._table("vocabulary", token=pa.array(self.ranks.values(), pa.int32()), hexed=pa.array([t.hex() for t in self.ranks]))
+        self.written = {r: str(r) for r in self.ranks.values()}
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}  # number of each piece; its tokens stand in ``tokens`` from ``at`` on
         self.tokens, self.at = array("i"), array("q", [0])
+        self.letters = 0
 
-    def _keep(self, piece: str, tokens: list[int]) -> None:
+    def _keep(self, piece: str, tokens: Iterable[int]) -> None:
         self.known[piece] = len(self.known)
+        self.letters += len(piece)
         self.tokens.extend(tokens)
         self.at.append(len(self.tokens))
 
@@ -121,9 +137,14 @@ class Coder:
         pos = (np.arange(len(piece)) - np.repeat(np.cumsum(lengths) - lengths, lengths)).astype(np.int32)
         token = np.array(one, np.int32)[np.frombuffer(b"".join(run), np.uint8)]
         self._table("symbols", piece=pa.array(piece), pos=pa.array(pos), token=pa.array(token))
-        found = self.db.execute(ENCODE if lengths.max() <= SHORT_BYTES else ENCODE_LONG).fetchall()
-        for p, tokens in found:
-            self._keep(names[p], tokens)
+        longest = int(lengths.max())
+        if wide := longest * LONG_BYTES > QUERY_MB << 20:
+            self.db.execute(f"SET memory_limit = '{longest * LONG_BYTES >> 20}MB'")
+        found = self.db.sql(ENCODE if longest <= SHORT_BYTES else ENCODE_LONG).to_arrow_table().combine_chunks()
+        if wide:
+            self.db.execute(f"SET memory_limit = '{QUERY_MB}MB'")
+        for p, tokens in zip(found["piece"].to_pylist(), found["tokens"]):
+            self._keep(names[p], tokens.values.to_numpy().tolist())
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offset of each text."""
@@ -131,7 +152,8 @@ class Coder:
         pieces = list(chain.from_iterable(split))
         distinct = set(pieces)
         missing = distinct.difference(self.known)
-        if missing and len(self.known) + len(missing) > MAX_KNOWN:
+        held = (len(self.known) + len(missing)) * PIECE_BYTES + self.letters + 4 * len(self.tokens)
+        if missing and held > KNOWN_BYTES:
             self._forget()
             missing = distinct
         self._learn(list(missing))
@@ -151,6 +173,10 @@ class Coder:
             out[k] = data
         return out
 
+    def written_ids(self, ids: np.ndarray) -> bytes:
+        """Decimal ids joined by a space."""
+        return " ".join(map(self.written.__getitem__, ids.tolist())).encode()
+
 
 _coders: dict[tuple[str, str], Coder] = {}
 
@@ -180,7 +206,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``docs`` plus ``ids``, an array of token ids of ``text``.
 
     ``ranks_path`` names a rank file (base64 token, rank) that the driver reads; it holds about a megabyte whatever the
-    corpus and is sent to the workers. A column that is called ``ids`` is replaced. Null and empty texts give no ids.
+    corpus and is sent to the workers. A column that is called ``ids`` is replaced. Null and empty texts give no ids. Words of any
+    length are contracted whole (about ``LONG_BYTES`` of memory for each byte of a very long word). Repeated rows give equal ids;
+    an empty table gives an empty result.
     """
     spark = docs.sparkSession
     start(spark)
@@ -204,7 +232,10 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def decode(coded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``coded`` with its column ``ids`` (null: none) replaced by ``decoded``, the bytes they stand for."""
+    """``coded`` with its column ``ids`` (null: none) replaced by ``decoded``, the bytes they stand for.
+
+    Repeated rows give equal bytes; an empty table gives an empty result.
+    """
     spark = coded.sparkSession
     start(spark)
     with open(ranks_path, "rb") as file:
@@ -227,12 +258,32 @@ def decode(coded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep, n_tokens, ids_sha256, decoded_sha256``: every text encoded and its ids decoded again."""
-    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    coded = encode(docs.select(*keep, "text"), ranks_path, pattern)
-    coded = coded.select(*keep, "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"))
-    back = decode(coded, ranks_path, pattern)
-    return back.select(*keep, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    """``keep, n_tokens, ids_sha256, decoded_sha256``: every text encoded and its ids decoded again, in one worker.
+
+    Null and empty texts have no ids and the digests of nothing. Words of any length are contracted whole. Repeated rows give
+    equal rows; an empty table gives an empty result.
+    """
+    spark = docs.sparkSession
+    start(spark)
+    with open(ranks_path, "rb") as file:
+        shared = spark.sparkContext.broadcast(file.read())
+    schema = docs.select(*keep).schema.add("n_tokens", "long", False).add("ids_sha256", "string", False).add("decoded_sha256", "string", False)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = _coder(shared, pattern)
+        for batch in batches:
+            counts, digests, back = [], [], []
+            for texts in _text_runs(batch["text"].to_pylist()):
+                ids, offsets = coder.encode(texts)
+                counts += np.diff(offsets).tolist()
+                digests += [hashlib.sha256(coder.written_ids(ids[i:j])).hexdigest() for i, j in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+                for i, j in slices(offsets, DECODE_IDS):
+                    found = coder.decode(ids[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                    back += [hashlib.sha256(x).hexdigest() for x in found]
+            results = [pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(back, pa.string())]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *results], [*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
 def op2_byte_level_bpe(spark, sf_dir: str) -> DataFrame:
