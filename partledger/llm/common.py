@@ -112,11 +112,6 @@ def word_counts(starts: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.searchsorted(starts, offsets)
 
 
-def position_key(*columns: str) -> Column:
-    """A repeatable 64-bit hash of some columns, for dealing rows out evenly."""
-    return F.xxhash64(*[F.col(c) for c in columns])
-
-
 def running_total(df: DataFrame, order: Sequence[str], amount: str, name: str, parts: int | None = None) -> DataFrame:
     """Add ``name``: the sum of ``amount`` over all earlier rows along ``order`` (nulls first), and write the table.
 
@@ -142,8 +137,9 @@ def parts_for(rows: int, each: int) -> int:
     return max(1, math.ceil(rows / each))
 
 
-def empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
+def orderable(df: DataFrame) -> list[str]:
+    """Columns that rows can be sorted by: those without a map inside."""
+    return [f.name for f in df.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
 
 
 def maybe_in(df: DataFrame, keys: DataFrame, column: str) -> DataFrame:

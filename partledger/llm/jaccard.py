@@ -15,10 +15,10 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from partledger.llm.common import (
-    LOWER, MIX, checkpointed, components, flat, maybe_in, mixed, slices, span_hashes, start, table, word_counts, word_spans,
+    LOWER, MIX, checkpointed, components, flat, maybe_in, mixed, orderable, slices, span_hashes, start, table, word_counts, word_spans,
 )
 
 WORDS = 5  # in a shingle
@@ -310,7 +310,7 @@ def jaccard_groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     Two texts link when 100 * intersection >= percent * union of their sets of ``words``-word shingles; shorter texts have one
     shingle, all their words. ``component`` is equal for texts that links connect. Equal sets are one set (``name``) from the
     start, however many copies there are. Null and wordless texts have an empty set and link with nothing; their component is
-    null. Repeated rows are copies. ``row`` is a hash of id and text.
+    null. Repeated rows are copies. ``row`` is a hash of id and text. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     start(spark)
@@ -336,19 +336,20 @@ def smallest_ids(grouped: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that link, directly or through others, with one of smaller id; all columns are kept.
 
-    Of rows equal in id and text one stays, the first by the other columns.
+    Of rows equal in id and text one stays, the first by the other columns (those of a type that can be ordered). An empty table
+    gives an empty result.
     """
     grouped = checkpointed(jaccard_groups(docs, **options))
     first = grouped.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct("doc_id", "row")).alias("kept"))
-    rows = first.select(F.col("kept.row").alias("_row"))
-    alone = grouped.where("component IS NULL").select(F.col("row").alias("_row")).distinct()
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(rows.union(alone).withColumn("_empty", F.lit(False)), "_row")
-    twice = joined.groupBy("_row").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_row")
-    single = joined.join(twice, "_row", "left_anti").select(*docs.columns)
-    order = Window.partitionBy("_row").orderBy(*[F.col(c) for c in docs.columns if c != "text"])
-    several = joined.join(twice, "_row").withColumn("_k", F.row_number().over(order)).where("_k = 1").select(*docs.columns)
-    return single.unionByName(several)
+    rows = first.select(F.col("kept.row").alias("key"))
+    alone = grouped.where("component IS NULL").select(F.col("row").alias("key")).distinct()
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), F.xxhash64("doc_id", "text").alias("key"))
+    joined = keyed.join(rows.union(alone), "key")
+    twice = joined.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    single = joined.join(twice, "key", "left_anti").select("doc")
+    order = F.struct(F.lit(0), *[F.col("doc")[c] for c in orderable(docs) if c != "text"])
+    several = joined.join(twice, "key").groupBy("key").agg(F.min_by("doc", order).alias("doc")).select("doc")
+    return single.unionByName(several).select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:

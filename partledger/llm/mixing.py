@@ -8,10 +8,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from partledger.llm.common import checkpointed, mixed, parts_for, running_total, start
+from partledger.llm.common import checkpointed, mixed, orderable, parts_for, running_total, start
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
+CHUNK_ROWS = 1000  # repeated rows that may share a leaf
 LEAF_ROWS = 4096  # documents that one leaf of the tree pairs up
 FAN_IN = 16  # nodes of a level that meet in one node of the next
 LEVEL = "doc_id: bigint, source: string, size: bigint, node: bigint, key: bigint, p: double, open: boolean"
@@ -124,11 +125,13 @@ def _node(level: int):
 def pivotal(rows: DataFrame, leaf_rows: int = LEAF_ROWS, fan_in: int = FAN_IN) -> DataFrame:
     """Round ``p`` (strictly between 0 and 1) of all rows to 0 or 1, keeping each source's sum of ``size * p``.
 
-    ``rows`` has ``doc_id, source, size (> 0), key, p`` and is a stored table. Leaves deal rows out by hash whatever their
-    source, so a hot source is spread; each leaf keeps one fractional row per source, and these meet level by level.
+    ``rows`` has ``doc_id, source, size (> 0), key, chunk, p`` and is a stored table. Leaves deal rows out by hash whatever their
+    source, so a hot source is spread, and equal rows chunk by chunk; each leaf keeps one fractional row per source, and
+    these meet level by level.
     """
     nodes = parts_for(rows.count(), leaf_rows)
-    dealt = rows.withColumn("node", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(nodes)))
+    spot = F.when(F.col("chunk") == 0, F.xxhash64("key", F.lit(1))).otherwise(F.xxhash64("key", F.lit(1), "chunk"))
+    dealt = rows.withColumn("node", F.pmod(spot, F.lit(nodes)))
     now = checkpointed(dealt.select(*CARRIED).groupBy("node").applyInArrow(_node(0), LEVEL))
     done, level = [now.where(~F.col("open"))], 1
     while nodes > 1:
@@ -156,14 +159,17 @@ def copies(
     of its own, and repeated rows are documents of their own. An empty table gives an empty result.
     """
     start(docs.sparkSession)
-    sizes = checkpointed(
-        docs.select(
-            F.col("doc_id").cast("long").alias("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            word_count(F.col("text")).alias("size"),
-            F.xxhash64("doc_id", "source", "text").alias("key"),
-        )
+    sized = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        word_count(F.col("text")).alias("size"),
+        F.xxhash64("doc_id", "source", "text").alias("key"),
     )
+    # repeated rows are numbered by chunks, so that however many there are no leaf gets them all
+    counted = sized.groupBy("doc_id", "source", "size", "key").agg(F.count(F.lit(1)).alias("n"))
+    chunks = counted.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / CHUNK_ROWS))))
+    inside = F.sequence(F.lit(1).cast("long"), F.least(F.lit(CHUNK_ROWS).cast("long"), F.col("n") - F.col("chunk") * CHUNK_ROWS))
+    sizes = checkpointed(chunks.withColumn("n", F.explode(inside)).drop("n"))
     targets = checkpointed(source_targets(sizes, weights, share, most))
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     shared = checkpointed(
@@ -173,7 +179,7 @@ def copies(
         .withColumn("p", F.greatest(ratio - F.col("whole"), F.lit(0.0)))
     )
     fractional = (F.col("p") > 1e-12) & (F.col("size") > 0)
-    rounded = pivotal(shared.where(fractional).select("doc_id", "source", "size", "key", "p"))
+    rounded = pivotal(shared.where(fractional).select("doc_id", "source", "size", "key", "chunk", "p"))
     meant = shared.groupBy("source").agg(F.first("source_size").alias("source_size"), F.first("target").alias("target"), F.first("whole").alias("whole"))
     columns = ["doc_id", "source", "size", "key", "source_size", "target", "n_copies"]
     taken = (
@@ -188,23 +194,19 @@ def copies(
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every column of ``docs``, each row as often as it is taken (0, 1, 2 … times).
 
-    Rows equal in id, source and text share what they are given, the first by their other columns first.
+    Rows equal in id, source and text share what they are given, the first by their other columns (those of a type that can be
+    ordered) first. An empty table gives an empty result.
     """
-    twins = ["_doc", "_key"]
-    chosen = copies(docs, **options).groupBy(F.col("doc_id").alias("_doc"), F.col("key").alias("_key")).agg(
-        F.sum("n_copies").alias("_total"), F.count(F.lit(1)).alias("_rows")
-    )
-    keyed = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_text_key": F.xxhash64("doc_id", "source", "text")})
-    joined = keyed.join(
-        chosen.where("_total > 0"), (F.col("_text_key") == F.col("_key")) & F.col("_id").eqNullSafe(F.col("_doc"))
-    )
-    alone = joined.where("_rows = 1").withColumn("_times", F.col("_total"))
-    place = F.row_number().over(Window.partitionBy(*twins).orderBy(*[F.col(c) for c in docs.columns if c != "text"]))
-    several = joined.where("_rows > 1").withColumn(
-        "_times", F.floor(F.col("_total") / F.col("_rows")) + (place <= F.col("_total") % F.col("_rows")).cast("long")
-    )
-    times = alone.unionByName(several).where("_times > 0")
-    return times.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_times"))).select(*docs.columns)
+    chosen = copies(docs, **options).groupBy("doc_id", "key").agg(F.sum("n_copies").alias("total"), F.count(F.lit(1)).alias("rows"))
+    chosen = chosen.where("total > 0").withColumnRenamed("doc_id", "of")
+    keyed = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("doc_id", "source", "text").alias("key"))
+    joined = keyed.join(chosen, "key").where(F.col("id").eqNullSafe(F.col("of")))
+    alone = joined.where("rows = 1").withColumn("times", F.col("total"))
+    order = [F.col("doc")[c] for c in orderable(docs) if c != "text"]
+    place = F.row_number().over(Window.partitionBy("id", "key").orderBy(F.lit(0), *order))
+    several = joined.where("rows > 1").withColumn("times", F.floor(F.col("total") / F.col("rows")) + (place <= F.col("total") % F.col("rows")).cast("long"))
+    times = alone.unionByName(several).where("times > 0").select("doc", F.explode(F.sequence(F.lit(1).cast("long"), "times")).alias("copy"))
+    return times.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
 
 def op3_mixing_sources(spark, sf_dir: str) -> DataFrame:

@@ -17,12 +17,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from partledger.llm.common import _BYTE, MIX, checkpointed, flat, mixed, parts_for, slices, span_hashes, start, table
 
 LONG = 200  # bytes of a passage that counts
 GRAM = 32  # bytes that name an anchor
 RANGE_ROWS = 10_000  # leaves of the suffix array in a range
+OPEN_ROWS = 20_000  # rows of intervals across a cut that a task gives out at once
 CHUNK = 1 << 16
 
 
@@ -228,17 +230,21 @@ def lcp_intervals(lcp: list[int], least: int) -> list[tuple[int, int, int]]:
 def _scan(ranges: Ranges, long: int, gram: int):
     """Stack scan of one range. Rows without ``node``: how far a leaf's repeats reach. With: a leaf of an interval across a cut."""
     before, after = _reach(long, gram)
+    schema = pa.schema(
+        [("name", pa.int64()), ("context", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("node", pa.binary()), ("back", pa.binary())]
+    )
 
-    def run(rows: pa.Table) -> pa.Table:
-        order = np.array(sorted(range(len(rows)), key=list(zip(rows["right"].to_pylist(), rows["left"].to_pylist())).__getitem__), np.int64)
-        rows = rows.take(pa.array(order))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(list(batches))
         right, right_size = _bytes_matrix(rows["right"], after)
+        order = np.lexsort((right_size, right.view(f"S{after}").ravel()))  # sizes tell apart what differs in last zero bytes only
+        rows, right, right_size = rows.take(pa.array(order)), right[order], right_size[order]
         left, left_size = _bytes_matrix(rows["left"], before)
         count = len(rows)
         lcp = np.zeros(count, np.int64)
         lcp[1:] = _agreement(right, right_size, np.arange(count - 1), np.arange(1, count))
         rank = np.empty(count, np.int64)
-        rank[np.argsort(left.view(f"S{before}").ravel(), kind="stable")] = np.arange(count)
+        rank[np.lexsort((left_size, left.view(f"S{before}").ravel()))] = np.arange(count)
         far_left, far_right = np.zeros(count, np.int64), np.zeros(count, np.int64)
         group: list[tuple[int, int, int]] = []
         size = 0
@@ -263,31 +269,25 @@ def _scan(ranges: Ranges, long: int, gram: int):
                 group, size = [], 0
         ok = np.flatnonzero(far_right)
         name, context = np.asarray(rows["name"]), np.asarray(rows["context"])
-        closed = {"name": name[ok], "context": context[ok], "left": far_left[ok], "right": far_right[ok]}
-        part, nodes, members, depths = rows["part"][0].as_py(), [], [], []
-        ends = rows["right"]
+        none = pa.nulls(len(ok), pa.binary())
+        reach = [pa.array(x[ok].astype(np.int32)) for x in (far_left, far_right)]
+        yield pa.RecordBatch.from_arrays([pa.array(name[ok]), pa.array(context[ok]), *reach, none, none], schema=schema)
+        part = rows["part"][0].as_py()
+        open_rows: list[tuple] = []
         for cut, column in ((part - 1, "low"), (part, "high")):
             if 0 <= cut < len(ranges.cuts):
                 common = np.asarray(rows[column])
                 for i in np.flatnonzero(common >= gram).tolist():
-                    end = ends[i].as_py()
+                    end, back = rows["right"][i].as_py(), rows["left"][i].as_py()
                     for depth in ranges.depths[cut]:
                         if depth <= common[i]:
-                            nodes.append(hashlib.blake2b(end[:depth], digest_size=16).digest())
-                            members.append(i)
-                            depths.append(depth)
-        at = np.array(members, np.int64)
-        backs = rows["left"].take(pa.array(at)).combine_chunks()
-        return pa.table(
-            {
-                "name": np.concatenate([closed["name"], name[at]]),
-                "context": np.concatenate([closed["context"], context[at]]),
-                "left": np.concatenate([closed["left"], np.zeros(len(at), np.int64)]).astype(np.int32),
-                "right": np.concatenate([closed["right"], np.array(depths, np.int64)]).astype(np.int32),
-                "node": pa.array([None] * len(ok) + nodes, pa.binary()),
-                "back": pa.concat_arrays([pa.nulls(len(ok), pa.binary()), backs if isinstance(backs, pa.Array) else backs.combine_chunks()]),
-            }
-        )
+                            node = hashlib.blake2b(end[:depth], digest_size=16).digest()
+                            open_rows.append((name[i], context[i], 0, depth, node, back))
+                    if len(open_rows) > OPEN_ROWS:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*open_rows), schema)], schema=schema)
+                        open_rows = []
+        if open_rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*open_rows), schema)], schema=schema)
 
     return run
 
@@ -330,7 +330,23 @@ def _extended_rows(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _tree_reach(leaves: DataFrame, long: int, gram: int, range_rows: int) -> DataFrame:
-    """``name, context, left, right``: how far the repeats of each leaf with other leaves reach around its anchor."""
+    """``name, context, left, right``: how far the repeats of each leaf with other leaves reach around its anchor.
+
+    The intervals that count lie inside one name, so names are dealt to ranges as a whole; only a name with more leaves than a
+    range holds has its part of the suffix array cut.
+    """
+    hot = checkpointed(leaves.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > range_rows).select("name"))
+    deal = F.pmod(F.xxhash64("name"), F.lit(parts_for(leaves.count(), range_rows))).cast("int")
+    whole = leaves.join(hot, "name", "left_anti").select(deal.alias("part"), "name", "context", "right", "left")
+    scanned = whole.groupBy("part").applyInArrow(_scan(Ranges([], gram), long, gram), OPEN)
+    closed = checkpointed(scanned.select("name", "context", "left", "right"))
+    if hot.isEmpty():
+        return closed
+    return closed.unionByName(_cut_reach(checkpointed(leaves.join(hot, "name")), long, gram, range_rows))
+
+
+def _cut_reach(leaves: DataFrame, long: int, gram: int, range_rows: int) -> DataFrame:
+    """The same where the suffix array is cut at sampled leaves: intervals across a cut are sorted once more."""
     spark = leaves.sparkSession
     parts = parts_for(leaves.count(), range_rows)
     cuts: list[tuple[bytes, bytes]] = []
@@ -391,11 +407,11 @@ def repeated_spans(texts: DataFrame, long: int = LONG, gram: int = GRAM, range_r
     return spans.distinct().groupBy("row").agg(F.collect_list("span").alias("spans"))
 
 
-def _without(batches: Iterator[pa.RecordBatch], kept: list[str]) -> Iterator[pa.RecordBatch]:
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, removed, count = [], [], []
-        for text, spans in zip(batch["_text"].to_pylist(), batch["_spans"].to_pylist()):
-            raw, out, at, runs = (text or "").encode("utf-8", "surrogatepass"), [], 0, 0
+        for text, spans in zip(batch["text"].cast(pa.binary()), batch["spans"].to_pylist()):
+            raw, out, at, runs = text.as_py() or b"", [], 0, 0
             end = -1
             for a, b in sorted((s["start"], s["end"]) for s in spans or ()):
                 if a > end:
@@ -407,12 +423,23 @@ def _without(batches: Iterator[pa.RecordBatch], kept: list[str]) -> Iterator[pa.
             data.append(b"".join(out))
             removed.append(len(raw) - len(data[-1]))
             count.append(runs)
+        texts = [None if none else raw.decode("utf-8", "ignore") for raw, none in zip(data, batch["text"].is_null().to_pylist())]
         yield pa.RecordBatch.from_arrays(
-            [*(batch[c] for c in kept), pa.array(data, pa.binary()), pa.array(removed, pa.int64()), pa.array(count, pa.int64())],
-            [*kept, "kept", "n_removed", "n_spans"],
+            [batch["row"], pa.array(data, pa.binary()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(texts, pa.string())],
+            ["row", "kept", "n_removed", "n_spans", "text"],
         )
 
 
+def _removed(docs: DataFrame, long: int, gram: int, range_rows: int) -> DataFrame:
+    """``row`` (the caller's columns), ``kept, n_removed, n_spans`` and the kept bytes as ``text`` without cut characters."""
+    start(docs.sparkSession)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64("doc_id", "text").alias("key"), "text")
+    spans = repeated_spans(rows.where(F.octet_length("text") >= long).select(F.col("key").alias("row"), "text"), long, gram, range_rows)
+    joined = rows.join(spans.withColumnRenamed("row", "key"), "key", "left").select("row", "text", "spans")
+    added = StructType.fromDDL("kept binary, n_removed bigint, n_spans bigint, text string")
+    return joined.mapInArrow(_without, StructType([rows.schema["row"], *added]))
+
+
 def remove_repeats(docs: DataFrame, long: int = LONG, gram: int = GRAM, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``docs`` (``doc_id, text, …``) with ``kept`` (remaining bytes of the text), ``n_removed`` and ``n_spans`` (removed runs).
 
@@ -421,32 +448,20 @@ def remove_repeats(docs: DataFrame, long: int = LONG, gram: int = GRAM, range_ro
     texts of their own, so each long one goes. Columns called ``kept``, ``n_removed`` or ``n_spans`` are replaced. An
     empty table gives an empty result.
     """
-    start(docs.sparkSession)
-    kept = [c for c in docs.columns if c.lower() not in ("kept", "n_removed", "n_spans", "text")]
-    keyed = docs.withColumn("_row", F.xxhash64("doc_id", "text"))
-    spans = repeated_spans(keyed.where(F.octet_length("text") >= long).select(F.col("_row").alias("row"), "text"), long, gram, range_rows)
-    joined = keyed.join(spans.withColumnsRenamed({"row": "_row", "spans": "_spans"}), "_row", "left")
-    schema = docs.select(*kept).schema.add("kept", "binary").add("n_removed", "long").add("n_spans", "long")
-    return joined.select(*kept, F.col("text").alias("_text"), "_spans").mapInArrow(lambda b: _without(b, kept), schema)
+    added = ("kept", "n_removed", "n_spans")
+    others = [F.col("row")[c].alias(c) for c in docs.columns if c.lower() not in (*added, "text")]
+    return _removed(docs, long, gram, range_rows).select(*others, *added)
 
 
-def without_repeats(docs: DataFrame, **options) -> DataFrame:
+def without_repeats(docs: DataFrame, long: int = LONG, gram: int = GRAM, range_rows: int = RANGE_ROWS) -> DataFrame:
     """``docs`` with its repeated passages cut out of ``text``; ``n_chars``, if there, is counted again. No row is dropped.
 
     Where a cut falls inside a character, what is left of that character goes too. A null text stays null.
     """
-
-    def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [None if none else raw.decode("utf-8", "ignore") for raw, none in zip(batch["kept"].to_pylist(), batch["_null"].to_pylist())]
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), pa.array(texts, pa.string())], [*others, "text"])
-
-    others = [c for c in docs.columns if c != "text"]
-    done = remove_repeats(docs.withColumn("_null", F.col("text").isNull()), **options)
-    text = done.select(*others, "kept", "_null").mapInArrow(decoded, docs.select(*others, "text").schema)
-    if "n_chars" in others:
-        text = text.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return text.select(*docs.columns)
+    columns = {c: F.col("row")[c] for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in columns:
+        columns["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return _removed(docs, long, gram, range_rows).select(*[c.alias(n) for n, c in columns.items()])
 
 
 def op9_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
