@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from partledger.llm.common import LOWER, SPACE, flat, mixed, slices, span_hashes, start, table
 from partledger.llm.language import held_out
@@ -22,6 +22,7 @@ WORDS, GRAMS = 1 << 13, 1 << 14  # hash buckets
 INPUT, STATE = 8, 8  # numbers in each embedding and in each direction's state
 LENGTHS = (3, 4, 5)  # bytes in a character n-gram, word ends included
 MAX_TOXIC, MAX_CLEAN = 1500, 2500  # bound of the labelled sample
+MAX_SAMPLE_BYTES = 64 << 20  # of its texts, which the driver gets
 CUT = 0.3  # score from which a text counts as toxic
 BREAK = SPACE.copy()
 BREAK[[k for k in range(33, 127) if not chr(k).isalnum()]] = True
@@ -286,17 +287,28 @@ def _place_cut(net: Network, logits: np.ndarray, toxic: np.ndarray, back: np.nda
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, text, toxic`` of at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` other labelled documents, by hash of the id."""
+    """``doc_id, text, toxic`` of at most ``MAX_TOXIC`` toxic and ``MAX_CLEAN`` other labelled documents, by hash of the id.
+
+    An id with several texts gives one of them, that of smallest hash. Of the texts in order of their ids' hashes those up to
+    ``MAX_SAMPLE_BYTES`` are taken, each as a whole. Rows without id or label are left out; no labels give no rows.
+    """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = marks.where("toxic = 1").orderBy(*by_hash).limit(MAX_TOXIC).unionByName(
         marks.where("toxic <> 1").withColumn("toxic", F.lit(0).cast(marks.schema["toxic"].dataType)).orderBy(*by_hash).limit(MAX_CLEAN)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    one = found.groupBy("doc_id", "toxic").agg(F.min_by(F.struct("text"), F.xxhash64("text")).alias("one")).select("doc_id", "one.text", "toxic")
+    earlier = Window.orderBy(*by_hash)  # over at most MAX_TOXIC + MAX_CLEAN rows
+    sized = one.withColumn("bytes", F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).over(earlier))
+    return sized.where(F.col("bytes") <= MAX_SAMPLE_BYTES).drop("bytes")
 
 
 def score_texts(docs: DataFrame, net: Network) -> DataFrame:
-    """All columns of ``docs`` and ``toxicity``, 0 to 1; null and wordless texts get 0. Windows cover whole texts."""
+    """All columns of ``docs`` and ``toxicity``, 0 to 1; null and wordless texts get 0. Windows cover whole texts.
+
+    A column called ``toxicity`` is replaced. Repeated rows get equal scores; an empty table gives an empty result.
+    """
     spark = docs.sparkSession
     start(spark)
     shared = spark.sparkContext.broadcast(net.p)
@@ -313,7 +325,10 @@ def score_texts(docs: DataFrame, net: Network) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Network:
-    """A network from a bounded sample of the labelled documents (a document with several labels is toxic if one says so)."""
+    """A network from a bounded sample of the labelled documents (a document with several labels is toxic if one says so).
+
+    With labels of one kind only, or none, or an empty table, ``fit`` says what comes out.
+    """
     rows = labelled_sample(docs, labels).toPandas().sort_values(["doc_id", "text"], na_position="first")
     return fit(rows["text"].fillna("").tolist(), rows["toxic"].to_numpy(dtype=np.int64))
 

@@ -130,3 +130,30 @@ def test_cut_texts_keep_rows_and_columns(documents):
 def test_lcp_intervals():
     assert sorted(suffixes.lcp_intervals([0, 5, 9, 9, 0, 7], 5)) == [(0, 3, 5), (1, 3, 9), (4, 5, 7)]
     assert suffixes.lcp_intervals([], 5) == []
+
+
+def test_names_that_fill_more_than_a_range(documents):
+    draw = random.Random(12)
+    say = lambda n: "".join(draw.choices("abcdef ", k=n))
+    shared = say(260)
+    rows = [(k, say(draw.randint(0, 150)) + shared[: draw.randint(150, 260)] + say(draw.randint(0, 150))) for k in range(60)] + [(99, "a" * 700), (98, "\0" * 230)]
+    frame = documents([(d, t, None, None) for d, t in rows])
+    for size in (7, 10_000):
+        done = suffixes.remove_repeats(frame, range_rows=size)
+        assert sorted((r["doc_id"], bytes(r["kept"]), r["n_removed"], r["n_spans"]) for r in done.collect()) == brute_removed(rows)
+
+
+def test_clashing_columns(documents):
+    """Callers' columns may have any name, and a type that cannot be ordered."""
+    rows = [(1, "a b c d e f " * 30, None, None), (1, "a b c d e f " * 30, None, None), (2, None, None, None), (3, "", None, None)]
+    own = ("_row", "_null", "_text", "_spans", "key", "spans", "_id", "_text_key", "_total", "_rows", "_copy", "doc", "times", "chunk", "component")
+    frame = documents(rows).withColumns({c: F.lit(f"own {c}") for c in own}).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
+    from partledger.llm import mixing
+
+    for stage, count in ((jaccard.one_of_each, 3), (suffixes.without_repeats, 4), (mixing.mixture, None)):
+        found = stage(frame)
+        assert found.columns == frame.columns
+        got = found.collect()
+        assert count is None or len(got) == count
+        assert all(r[c] == f"own {c}" for r in got for c in own) and all(r["m"] == {"k": 1} for r in got)
+        assert stage(frame.limit(0)).collect() == []

@@ -35,6 +35,41 @@ def test_tokens_equal_tiktoken_and_come_back(documents, tokens):
     assert bpe.digests(documents([]), path, tokens.PATTERN).count() == 0
 
 
+def test_very_long_words_equal_tiktoken(tokens):
+    tiktoken = pytest.importorskip("tiktoken")
+    coder = bpe.Coder(open(tokens.path("byte_bpe_50k.tiktoken"), "rb").read(), tokens.PATTERN)
+    known = tiktoken.Encoding("own", pat_str=tokens.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    draw = random.Random(6)
+    texts = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=50_000)), "".join(chr(draw.randint(0x4E00, 0x9FFF)) for _ in range(20_000))]
+    texts += ["ACGT" * 3000, "ab" * 9000 + "a" * 333, " " * 3000 + "\n" * 500 + "-" * 777, "".join(draw.choices("ACGT", k=5000))]
+    for _ in range(200):
+        piece = "".join(draw.choices(draw.choice(["ab", "abc", "aeiournst", "=-", "é中ü", "thein"]), k=draw.randint(33, 150)))
+        texts.append(piece + piece[-draw.randint(1, 9) :] * draw.randint(0, 30))
+    ids, offsets = coder.encode(texts)
+    assert [ids[i:j].tolist() for i, j in zip(offsets, offsets[1:])] == [known.encode_ordinary(t) for t in texts]
+    assert coder.decode(ids, offsets) == [t.encode() for t in texts]
+
+
+def test_digests_of_repeated_rows(documents, tokens):
+    texts = [None, "", "same text", "same text", "more of it\n" * 40]
+    found = bpe.digests(documents([(7, t, None, None) for t in texts]), tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN).collect()
+    coder = bpe.Coder(open(tokens.path("byte_bpe_50k.tiktoken"), "rb").read(), tokens.PATTERN)
+    want = []
+    for t in texts:
+        ids = coder.encode([t])[0]
+        want.append((7, len(ids), hashlib.sha256(coder.written_ids(ids)).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
+    assert sorted(tuple(r) for r in found) == sorted(want)
+
+
+def test_one_sample_row_for_a_repeated_id(spark, documents, monkeypatch):
+    docs = documents([(1, f"text {k}", None, None) for k in range(3000)] + [(2, "x" * 500, None, None), (3, None, None, None)])
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 0), (None, 1)], "doc_id long, toxic int")
+    rows = toxicity.labelled_sample(docs, labels).collect()
+    assert sorted((r["doc_id"], r["toxic"]) for r in rows) == [(1, 1), (2, 0), (3, 0)]
+    monkeypatch.setattr(toxicity, "MAX_SAMPLE_BYTES", 100)
+    assert sum(len(r["text"] or "") for r in toxicity.labelled_sample(docs, labels).collect()) <= 100
+
+
 def test_mix_meets_targets(documents):
     draw = random.Random(4)
     rows = [(i, "w " * draw.randint(1, 60), draw.choice([None, "a", "b", "c", "a", "a"]), None) for i in range(3000)]
