@@ -11,7 +11,6 @@ from __future__ import annotations
 import hashlib
 import os
 from array import array
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
 
@@ -22,7 +21,7 @@ from pyspark.sql.types import StructField, StructType
 
 from partledger.llm.common import MIX, _power_tables, checkpointed, flat, mixed, slices, start, table
 
-MEMO_ENTRIES = 4_000_000  # ids and links that a worker remembers; beyond that it forgets all windows and goes on
+MEMO_ENTRIES = 2_000_000  # ids and links that a worker remembers; beyond that it forgets all windows and goes on
 BLOCK = (
     "block bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
     "pairs array<int>, times array<int>, names array<bigint>, docs array<int>"
@@ -56,13 +55,17 @@ class Pair:
         self.bytes_b = [bytes([int(x[3:5], 16)]) if self.b.is_byte(k) else x.replace("▁", " ").encode() for k, x in enumerate(names)]
         self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
         self.marked_a, self.marked_b = (np.array([x[:1] == b" " for x in t]) for t in (self.bytes_a, self.bytes_b))
+        written = [b"%d," % k for k in range(max(len(names), len(self.bytes_a)))]  # an id and room for what parts it from the next
+        self.digits = np.frombuffer(b"".join(written), np.uint8)
+        self.size = np.array([len(x) for x in written], np.int64)
+        self.place = np.cumsum(self.size) - self.size
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[tuple[bytes, bytes], int] = {}
-        self.text: list[str] = []  # of a window's groups
-        self.groups, self.links = array("q"), array("q")
-        self.names, self.times, self.at = array("q"), array("q"), array("q", [0])  # linked id pairs and how often
+        self.text: list[bytes] = []  # of a window's groups
+        self.groups = array("q")
+        self.names, self.at = array("q"), array("q", [0])  # the links of all windows, as id pairs
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of a space and each text, and of each text."""
@@ -72,35 +75,39 @@ class Pair:
     def spells(self, raw: bytes, a: list[int], b: list[int]) -> bool:
         return b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
 
-    def align(self, a: list[int], b: list[int]) -> None:
-        """Cut a window where tokens of both end, and remember its groups and links."""
-        groups, i, j = [], 0, 0
-        seen: Counter[int] = Counter()
-        links = 0
-        while i < len(a):
-            p, q = i, j
-            x, y = self.length_a[a[i]], self.length_b[b[j]]
-            i, j = i + 1, j + 1
-            while x != y:
-                if x < y:
-                    x += self.length_a[a[i]]
-                    i += 1
-                else:
-                    y += self.length_b[b[j]]
-                    j += 1
-            own, other = a[p:i], b[q:j]
-            groups.append(f"{','.join(map(str, own))}|{','.join(map(str, other))}")
-            links += len(own) * len(other)
-            others = Counter(other)
-            for k, n in Counter(own).items():
-                for m, times in others.items():
-                    seen[k << 32 | m] += n * times
-        self.text.append(";".join(groups))
-        self.groups.append(len(groups))
-        self.links.append(links)
-        self.names.extend(seen)
-        self.times.extend(seen.values())
-        self.at.append(len(self.names))
+    def align(self, a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray) -> None:
+        """Cut windows (runs of ids of the given sizes) where tokens of both end, and remember their groups and links."""
+        count = len(size_a)
+        end_a, end_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        ends = np.zeros((2, int(end_a[-1]) + 1), bool)
+        ends[0, end_a], ends[1, end_b] = True, True
+        last_a, last_b = ends[1, end_a], ends[0, end_b]  # tokens that end a group
+        of_a, of_b = np.cumsum(last_a) - last_a, np.cumsum(last_b) - last_b
+        many_a, many_b = np.bincount(of_a), np.bincount(of_b)
+        window = np.repeat(np.arange(count), size_a)
+        # links: every token of A with all tokens of B of its group
+        each = many_b[of_a]
+        first_b = np.cumsum(many_b) - many_b
+        other = np.repeat(first_b[of_a] - (np.cumsum(each) - each), each) + np.arange(each.sum())
+        names = np.repeat(a.astype(np.int64) << 32, each) | b[other]
+        # text: the ids of a group's A tokens, then of its B tokens
+        at_a, at_b = np.arange(len(a)) + first_b[of_a], np.arange(len(b)) + np.cumsum(many_a)[of_b]
+        ids, after = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[at_a], ids[at_b] = a, b
+        after[at_a[last_a]], after[at_b[last_b]] = ord("|"), ord(";")
+        wide = self.size[ids]
+        end = np.cumsum(wide)
+        text = self.digits[np.repeat(self.place[ids] - (end - wide), wide) + np.arange(end[-1])]
+        text[end - 1] = after
+        text, stops = text.tobytes(), end[np.cumsum(size_a + size_b) - 1].tolist()
+        start = 0
+        for stop in stops:
+            self.text.append(text[start : stop - 1])
+            start = stop
+        self.groups.frombytes(np.bincount(window[last_a], minlength=count).astype(np.int64).tobytes())
+        links = np.cumsum(np.bincount(window, each, count).astype(np.int64)) + self.at[-1]
+        self.at.frombytes(links.tobytes())
+        self.names.frombytes(names.tobytes())
 
     def windows(self, first_a, last_a, ids_a, first_b, last_b, ids_b) -> np.ndarray:
         """The number of each window, a pair of runs of ids; new ones are aligned."""
@@ -110,18 +117,30 @@ class Pair:
         _, one, each = np.unique(name, return_index=True, return_inverse=True)
         if not (same_runs(ids_a, first_a, last_a, one[each]) and same_runs(ids_b, first_b, last_b, one[each])):
             one = each = np.arange(len(name))  # two windows of one hash: look every window up
-        found = np.empty(len(one), np.int64)
+        found, fresh = np.empty(len(one), np.int64), []
         bounds = zip(first_a[one].tolist(), last_a[one].tolist(), first_b[one].tolist(), last_b[one].tolist())
         for k, (p, q, r, s) in enumerate(bounds):
             key = (ids_a[p:q].tobytes(), ids_b[r:s].tobytes())
             at = self.number.get(key)
             if at is None:
                 at = self.number[key] = len(self.number)
-                self.align(ids_a[p:q].tolist(), ids_b[r:s].tolist())
+                fresh.append(k)
             found[k] = at
+        if fresh:
+            new = one[fresh]
+            runs = []
+            for ids, first, last in ((ids_a, first_a[new], last_a[new]), (ids_b, first_b[new], last_b[new])):
+                runs += [ids[ranges(first, last)], last - first]
+            self.align(*runs)
         return found[each]
 
 
+def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The numbers of all runs ``first`` … ``last - 1``, one run after the other."""
+    size = last - first
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 def run_hashes(values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each run ``first`` … ``last - 1`` of values."""
     power, inverse = _power_tables(len(values))
@@ -135,9 +154,7 @@ def same_runs(values: np.ndarray, first: np.ndarray, last: np.ndarray, other: np
     size = last - first
     if not np.array_equal(size, size[other]):
         return False
-    moved = np.repeat(first[other] - first, size)
-    at = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    return bool(np.array_equal(values[at], values[at + moved]))
+    return bool(np.array_equal(values[ranges(first, last)], values[ranges(first[other], last[other])]))
 
 
 def _window_ends(pair: Pair, ids_a, ids_b, doc_ends) -> tuple[np.ndarray, np.ndarray]:
@@ -176,27 +193,23 @@ def _block(pair: Pair, texts: list[str | None]) -> tuple[dict[str, list], np.nda
     first_a, first_b = np.append(0, last_a[:-1]), np.append(0, last_b[:-1])
     number = pair.windows(first_a, last_a, ids_a, first_b, last_b, ids_b)
     cuts = np.append(0, np.searchsorted(last_a, np.cumsum(each_a)) + 1)  # windows of each document
-    groups, links, at = (np.array(x, np.int64) for x in (pair.groups, pair.links, pair.at))
+    groups, at = np.array(pair.groups, np.int64), np.array(pair.at, np.int64)
     numbers["n_a"][doc], numbers["n_b"][doc] = each_a, each_b
     numbers["n_groups"][doc] = np.add.reduceat(groups[number], cuts[:-1])
-    numbers["n_links"][doc] = np.add.reduceat(links[number], cuts[:-1])
+    numbers["n_links"][doc] = np.add.reduceat(np.diff(at)[number], cuts[:-1])
     spelled = list(map(pair.text.__getitem__, number.tolist()))
     for k, (p, q) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
-        digests[doc[k]] = hashlib.sha256(";".join(spelled[p:q]).encode()).hexdigest()
+        digests[doc[k]] = hashlib.sha256(b";".join(spelled[p:q])).hexdigest()
     # linked pairs of every document, each once with its number of links
     used, own = np.unique(number, return_inverse=True)
-    size = at[used + 1] - at[used]
+    size = np.diff(at)[used]
+    names, slot = np.unique(np.frombuffer(pair.names, np.int64)[ranges(at[used], at[used + 1])], return_inverse=True)
     ends = np.cumsum(size)
-    place = np.repeat(at[used] - (ends - size), size) + np.arange(ends[-1])
-    names, slot = np.unique(np.array(pair.names, np.int64)[place], return_inverse=True)
-    times = np.array(pair.times, np.int64)[place]
     wide = size[own]
-    place = np.repeat((ends - size)[own] - (np.cumsum(wide) - wide), wide) + np.arange(wide.sum())
-    key = np.repeat(np.repeat(np.arange(len(doc)), np.diff(cuts)), wide) * len(names) + slot[place]
-    order = np.argsort(key, kind="stable")
-    key = key[order]
+    place = ranges((ends - size)[own], ends[own])
+    key = np.sort(np.repeat(np.repeat(np.arange(len(doc)), np.diff(cuts)), wide) * len(names) + slot[place])
     fresh = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    links = np.add.reduceat(times[place[order]], fresh)
+    links = np.diff(np.append(fresh, len(key)))
     holder, held = np.divmod(key[fresh], len(names))
     bounds = np.zeros(count + 1, np.int64)
     bounds[doc + 1] = np.bincount(holder, minlength=len(doc))
