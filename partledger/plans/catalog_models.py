@@ -631,9 +631,16 @@ def iforest_evaluate(w: Workspace) -> DataFrame:
 
 @query("rf_fit")
 def rf_fit(w: Workspace) -> DataFrame:
-    model = w.forest
-    rows = [(model.forest.getNumTrees, model.forest.totalNumNodes, model.threshold)]
-    return w.spark.createDataFrame(rows, "trees int, nodes int, threshold double")
+    """Size and shape of the published forest."""
+    leaf = F.col("feature") < 0
+    shape = w.forest.nodes.agg(
+        F.count_distinct("tree").alias("trees"),
+        F.count(F.lit(1)).alias("nodes"),
+        F.count_if(leaf).alias("leaves"),
+        F.max("depth").alias("depth"),
+        F.min(F.when(~leaf, F.col("n"))).alias("least_rows_split"),
+    )
+    return shape.withColumn("threshold", F.lit(w.forest.threshold))
 
 
 @query("grid_search")

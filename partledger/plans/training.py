@@ -46,7 +46,10 @@ def run(
     params: forest.ForestParams | None = None,
     label: str = DEFAULTS.label,
 ) -> Run:
-    """Run all stages and write their tables and models under ``out``. ``grid`` turns the grid search on."""
+    """Run all stages and write their tables and models under ``out``.
+
+    The forest's parameters are searched in ``grid`` (none: that of the settings) unless ``params`` gives them.
+    """
     ship_package(spark)
     result = Run()
     matched = checkpointed(merge.matched_survey(survey, garage, settings.merge_keys))
@@ -150,6 +153,14 @@ def isolation_metrics(scored: DataFrame, scaler: sampling.Scaler, key: str) -> d
     return _rounded({**_row(numbers), **{k: v for k, v in quality.items() if v is not None}})
 
 
+def _supervised(scored: DataFrame) -> dict:
+    """Metrics against the known labels; the area under the curve where there are probabilities."""
+    values = _row(evaluate.binary_metrics(scored, TRUTH, "is_fraud"))
+    if "fraud_probability" in scored.columns:
+        values["roc_auc"] = evaluate.roc_auc(scored, TRUTH, "fraud_probability").first()["roc_auc"]
+    return _rounded(values)
+
+
 def _fraud(result, spark, rows, weight, out, settings, grid, params, label) -> dict:
     key = settings.claim_id
     known = label in rows.columns
@@ -163,30 +174,40 @@ def _fraud(result, spark, rows, weight, out, settings, grid, params, label) -> d
     models.save_anomaly(anomaly, spark, f"{out}/models")
     scored = checkpointed(iforest.score(test, anomaly))
     report = {f"iforest_{k}": v for k, v in isolation_metrics(scored, anomaly.scaler, key).items()}
-    winner = iforest.score(table, anomaly)
+    winner = checkpointed(iforest.score(table, anomaly))
+    report.update({f"iforest_all_{k}": v for k, v in isolation_metrics(winner, anomaly.scaler, key).items()})
+    sizes = {r["split"]: r["n"] for r in split.groupBy("split").agg(F.count(F.lit(1)).alias("n")).collect()}
+    report.update(features_used=", ".join(FEATURES), train_size=sizes.get("train", 0), test_size=sizes.get("test", 0))
     if known:
+        report.update({f"iforest_all_{k}": v for k, v in _supervised(winner).items()})
         flat = _rounded(_row(evaluate.binary_metrics(scored, TRUTH, "is_fraud")))
         report.update({f"iforest_{k}": v for k, v in flat.items()})
         folds = checkpointed(sampling.repeated_folds(train, key, label, settings.cv_splits, settings.cv_repeats))
         chosen = params or forest.ForestParams(settings.rf_trees, settings.rf_depth, settings.rf_min_split, settings.seed)
-        if grid:
-            ranking = forest.grid_search(folds, grid, label)
-            chosen = ranking[0][0]
-            report.update(forest_best_params=str(chosen), forest_best_cv_f1=round(ranking[0][1], 4))
+        ranking = None
+        if params is None:
+            points = forest.grid_search(folds, grid or settings.grid, label)
+            chosen, ranking = points[0][0], forest.grid_table(spark, points)
+            report.update(forest_best_params=str(chosen), forest_best_cv_f1=round(points[0][1], 4))
         model = forest.fit(train, label, FEATURES, chosen)
-        models.save_forest(model, spark, f"{out}/models")
         tested = checkpointed(forest.score(test, model))
-        best = _rounded(_row(evaluate.binary_metrics(tested, TRUTH, "is_fraud")))
-        best["roc_auc"] = evaluate.roc_auc(tested, TRUTH, "fraud_probability").first()["roc_auc"]
-        report.update({f"forest_{k}": v for k, v in _rounded(best).items()}, forest_threshold=model.threshold)
+        best = _supervised(tested)
+        report.update({f"forest_{k}": v for k, v in best.items()}, forest_threshold=model.threshold)
         cv = forest.fold_table(spark, forest.cross_validate(folds, label, FEATURES, chosen))
         result.tables["folds"] = cv
         for r in forest.cv_summary(cv).collect():
             report[f"forest_cv_{r['metric']}"] = f"{r['mean']:.4f} +/- {r['std']:.4f}"
-        result.tables["importances"] = forest.importances(spark, model)
+        parts = forest.evaluation(model, tested, cv, ranking)
+        models.save_forest(model, spark, f"{out}/models", parts)
+        result.tables.update(importances=parts["importances"], report=parts["report"])
+        report.update({f"forest_importance_{r['feature']}": r["importance"] for r in parts["importances"].collect()})
+        for r in cv.collect():
+            report[f"forest_cv_{r['repeat']}_{r['fold']}_{r['metric']}"] = None if r["value"] is None else round(r["value"], 4)
         report["best_model"] = select_best_model(best["f1_score"], flat["f1_score"])
+        everything = forest.score(table, model)
+        report.update({f"forest_all_{k}": v for k, v in _supervised(everything).items()})
         if report["best_model"] == "forest":
-            winner = forest.score(table, model)
+            winner = everything
     winner.write.mode("overwrite").parquet(f"{out}/fraud_predictions")
     result.tables["predictions"] = spark.read.parquet(f"{out}/fraud_predictions")
     return report
