@@ -59,6 +59,36 @@ class StringBlock:
         return np.where(total == 0, 1.0, 2.0 * common / np.maximum(total, 1))
 
 
+def pair_ratios(left: list[str], right: list[str], step: int = 2048) -> np.ndarray:
+    """Similarity of each pair, all pairs of a step at once: bit vectors of 64 places, carries from word to word."""
+    out = np.empty(len(left))
+    for start in range(0, len(left), step):
+        a, b = (np.array(x[start : start + step], dtype=str) for x in (left, right))
+        size_a, size_b = np.char.str_len(a), np.char.str_len(b)
+        letters_a, letters_b = (x.view(np.uint32).reshape(len(x), -1) for x in (a, b))
+        words = max(1, -(-letters_b.shape[1] // WORD))
+        v = np.full((len(a), words), np.iinfo(np.uint64).max, np.uint64)
+        for i in range(int(size_a.max(initial=0))):
+            letter, carry = letters_a[:, i : i + 1], np.zeros(len(a), np.uint64)
+            for k in range(words):
+                part = letters_b[:, k * WORD : (k + 1) * WORD]
+                same = (part == letter) & (letter > 0)
+                mask = (same.astype(np.uint64) << np.arange(part.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+                u = v[:, k] & mask
+                total = v[:, k] + u
+                summed = total + carry
+                carry = ((total < u) | (summed < total)).astype(np.uint64)
+                v[:, k] = summed | (v[:, k] & ~u)
+        common = np.zeros(len(a), np.int64)
+        for k in range(words):
+            inside = np.clip(size_b - k * WORD, 0, WORD).astype(np.uint64)
+            full = np.where(inside == WORD, np.iinfo(np.uint64).max, (np.uint64(1) << np.minimum(inside, np.uint64(WORD - 1))) - np.uint64(1))
+            common += np.bitwise_count(~v[:, k] & full)
+        total = size_a + size_b
+        out[start : start + step] = np.where(total == 0, 1.0, 2.0 * common / np.maximum(total, 1))
+    return out
+
+
 def score(ratio: np.ndarray) -> np.ndarray:
     """Ratio as an integer from 0 to 100, rounded half to even."""
     return np.rint(100.0 * ratio).astype(np.int32)

@@ -11,13 +11,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from partledger.config import DEFAULTS, FEATURES, TRUTH
 from partledger.operators.blocks import parallelism
-from partledger.operators.ordering import exact_quantile, hash_sample
+from partledger.operators.ordering import exact_quantile, hash_rank
 from partledger.operators.sampling import Scaler, apply_scaler, fit_scaler
-from partledger.session import checkpointed
 
 NODES = "tree int, node int, feature int, split double, left int, right int, path double"
 
@@ -81,7 +80,7 @@ def fit(
 ) -> IForestModel:
     """Fit on the rows of ``df``; ``key`` is unique and only decides which rows are drawn.
 
-    Draws are with replacement from a uniform pool of ``trees * sample`` rows (all rows, if there are fewer).
+    Draws are with replacement, each from all rows: the rows are numbered in hash order and the drawn numbers joined.
     """
     scaler = fit_scaler(df, features)
     scaled = apply_scaler(df.select(key, *features), scaler)
@@ -89,22 +88,16 @@ def fit(
     if rows == 0:
         raise ValueError("no rows to fit an isolation forest on")
     sample = min(sample, rows)
-    pool_size = min(rows, trees * sample)
-    pool = checkpointed(
-        hash_sample(scaled, F.col(key), pool_size, rows, seed)  # at most trees * sample rows
-        .withColumn("place", F.row_number().over(Window.orderBy(key)) - 1)
-        .drop(key)
-    )
-    pool_size = pool.count()
+    numbered = hash_rank(scaled, F.col(key), seed=seed, name="_rank").withColumn("place", F.col("_rank") - 1).drop(key, "_rank")
     spark = df.sparkSession
     draws = spark.range(trees * sample).select(
         (F.col("id") / sample).cast("int").alias("tree"),
         (F.col("id") % sample).cast("int").alias("draw"),
-        F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(pool_size)).cast("int").alias("place"),
+        F.pmod(F.xxhash64(F.lit(seed), F.col("id")), F.lit(rows)).alias("place"),
     )
     depth_limit = int(np.ceil(np.log2(max(sample, 2))))
     nodes = (
-        draws.join(pool, "place")
+        numbered.join(F.broadcast(draws), "place")  # trees * sample numbers, whatever the table holds
         .repartition(min(trees, parallelism(spark)), "tree")
         .groupBy("tree")
         .applyInPandas(_grow(features, depth_limit, seed), NODES)

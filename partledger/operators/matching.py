@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from partledger.config import DEFAULTS
 from partledger.functions.numbers import rounded
-from partledger.functions.similarity import StringBlock, score
+from partledger.functions.similarity import StringBlock, pair_ratios, score
 from partledger.functions.text import clean_text, ngrams, strip_space, token_sort_key, tokens
 from partledger.operators.blocks import block_join
 from partledger.session import checkpointed
@@ -45,8 +45,7 @@ def token_sort_ratio(a: Column, b: Column) -> Column:
 
     @F.pandas_udf("int")
     def pair_score(left: pd.Series, right: pd.Series) -> pd.Series:
-        ratios = [StringBlock([y]).ratios(x)[0] for x, y in zip(left, right)]
-        return pd.Series(score(np.array(ratios, dtype=float)))
+        return pd.Series(score(pair_ratios(left.tolist(), right.tolist())))
 
     return pair_score(token_sort_key(a), token_sort_key(b))
 

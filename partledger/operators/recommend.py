@@ -15,8 +15,12 @@ from partledger.operators.blocks import block_join, matrix
 from partledger.operators.ordering import hash_sample
 from partledger.session import checkpointed
 
-MAX_GRAM_PARTS = 2048  # up to here the part-by-part matrix is formed; beyond, subspace iteration
-EXTRA_DIRECTIONS = 10
+MAX_GRAM_PARTS = 2048  # up to here the part-by-part matrix is formed on the driver; beyond, it is only multiplied with
+EXTRA_DIRECTIONS = 6
+RESIDUAL = 1e-10  # of a direction, against its eigenvalue
+SMALL = 1e-12  # … or against the largest one, where that is more
+BASIS_BLOCKS = 12  # blocks of directions that are kept before the basis is cut back
+MAX_PRODUCTS = 400
 CELL_ROWS = 4096
 PIVOT_ROWS = 1024
 MAX_CELLS = 4096
@@ -79,10 +83,11 @@ class SvdModel:
 
 
 def svd_fit(
-    inter: DataFrame, components: int = DEFAULTS.components, max_gram_parts: int = MAX_GRAM_PARTS, rounds: int = 12
+    inter: DataFrame, components: int = DEFAULTS.components, max_gram_parts: int = MAX_GRAM_PARTS
 ) -> SvdModel:
     """Leading right singular vectors of the standardised claims-by-parts matrix, never built densely.
 
+    Every direction ``v`` and eigenvalue ``l`` of the part-by-part matrix ``G`` has ``|G v - l v| <= RESIDUAL * l`` (or ``SMALL`` times the largest ``l``), whatever the width.
     ``inter`` is read several times and should be checkpointed or stored.
     """
     claims = inter.select("claim_id").distinct().count()
@@ -93,7 +98,7 @@ def svd_fit(
     rank = max(1, min(components, min(claims, parts) - 1, claims - 1))
     usable = scales.where(~F.col("constant"))
     solve = _gram_directions if parts <= max_gram_parts else _iterated_directions
-    directions, values = solve(inter, usable, claims, rank, rounds)
+    directions, values = solve(inter, usable, claims, rank)
     shift = _shift(directions, rank)
     total = max(usable.count(), 1)
     return SvdModel(directions, shift, [float(v) / claims / total for v in values], claims, parts)
@@ -105,7 +110,7 @@ def _shift(directions: DataFrame, rank: int) -> list[float]:
     return [float(x) for x in row]
 
 
-def _gram_directions(inter: DataFrame, scales: DataFrame, claims: int, rank: int, rounds: int):
+def _gram_directions(inter: DataFrame, scales: DataFrame, claims: int, rank: int):
     """Exact: partial part-by-part matrices per task, non-zero cells summed by Spark, decomposed on the driver."""
     spark = inter.sparkSession
     table = scales.orderBy("part").toPandas()  # at most max_gram_parts rows
@@ -162,57 +167,118 @@ def _projected(inter: DataFrame, directions: DataFrame, width: int, shift: list[
     )
 
 
-def _products(df: DataFrame, prefix: str, width: int) -> np.ndarray:
-    """The width-by-width matrix of column products, summed over all rows."""
-    pairs = [(i, j) for i in range(width) for j in range(i + 1)]
-    row = df.agg(*[F.coalesce(F.sum(F.col(f"{prefix}{i}") * F.col(f"{prefix}{j}")), F.lit(0.0)) for i, j in pairs]).first()
-    out = np.zeros((width, width))
-    for (i, j), value in zip(pairs, row):
-        out[i, j] = out[j, i] = value
-    return out
-
-
-def _rotated(df: DataFrame, keep: list[str], prefix: str, matrix: np.ndarray) -> DataFrame:
-    columns = [
-        sum((F.col(f"{prefix}{i}") * F.lit(float(matrix[i, j])) for i in range(len(matrix))), F.lit(0.0)).alias(f"v{j}")
-        for j in range(matrix.shape[1])
-    ]
-    return df.select(*keep, *columns)
-
-
-def _iterated_directions(inter: DataFrame, scales: DataFrame, claims: int, rank: int, rounds: int):
-    """Wide part lists: subspace iteration (Halko, Martinsson, Tropp 2011) with joins; no part-by-part matrix."""
-    width = rank + EXTRA_DIRECTIONS
-    start = [
-        (F.pmod(F.xxhash64(F.col("part"), F.lit(i)), F.lit(2_000_003)) / 1_000_001.5 - 1.0).alias(f"v{i}")
-        for i in range(width)
-    ]
-    directions = checkpointed(scales.select("part", "mean", "std", *start))
-    for _ in range(rounds):
-        basis = _orthonormal(directions, width)
-        left = _projected(inter, basis, width, _shift(basis, width))
-        back = (
-            inter.join(left, "claim_id")
-            .groupBy("part")
-            .agg(*[F.sum(F.col("amount") * F.col(f"u{i}")).alias(f"w{i}") for i in range(width)])
-        )
-        directions = checkpointed(
-            scales.join(back, "part").select(
-                "part", "mean", "std", *[(F.col(f"w{i}") / F.col("std")).alias(f"v{i}") for i in range(width)]
-            )
-        )
-    basis = checkpointed(_orthonormal(directions, width))
-    left = _projected(inter, basis, width, _shift(basis, width))
-    values, vectors = np.linalg.eigh(_products(left, "u", width))
-    order = np.argsort(values)[::-1][:rank]
-    final = _rotated(basis, ["part", "mean", "std"], "v", vectors[:, order])
-    return checkpointed(final), np.maximum(values[order], 0.0)
+def _multiplied(inter: DataFrame, directions: DataFrame, width: int) -> DataFrame:
+    """``part, image``: the part-by-part matrix times ``v0`` …, by a join to the claims and one back.
+
+    Projections are centred, so their sum over all claims is zero and absent cells add nothing on the way back.
+    """
+    left = _projected(inter, directions, width, _shift(directions, width))
+    back = inter.join(left, "claim_id").groupBy("part").agg(*[F.sum(F.col("amount") * F.col(f"u{i}")).alias(f"w{i}") for i in range(width)])
+    scaled = directions.select("part", "std").join(back, "part")
+    return scaled.select("part", F.array(*[F.col(f"w{i}") / F.col("std") for i in range(width)]).alias("image"))
+
+
+def _inner(df: DataFrame, a: str, b: str) -> np.ndarray:
+    """Inner products, over all rows, of every column of the array ``a`` with every column of ``b``; summed per task first."""
+
+    def partial(batches):
+        total = None
+        for batch in batches:
+            if len(batch):
+                more = _stack(batch[a]).T @ _stack(batch[b])
+                total = more if total is None else total + more
+        if total is not None:
+            yield pd.DataFrame({"rows": [total.shape[0]], "x": [total.ravel()]})
+
+    found = df.select(a, b) if a != b else df.select(a)
+    parts = found.mapInPandas(partial, "rows int, x array<double>").collect()  # one small matrix for each task
+    return sum(np.array(r["x"]).reshape(r["rows"], -1) for r in parts)
+
+
+def _combined(df: DataFrame, terms: dict[str, list[tuple[str, np.ndarray]]]) -> DataFrame:
+    """New array columns, each a sum of arrays times small matrices; ``part`` and the scales stay."""
+    kept, used = ["part", "mean", "std"], sorted({c for parts in terms.values() for c, _ in parts})
+
+    def run(batches):
+        for batch in batches:
+            out = batch[kept].copy()
+            if len(batch):
+                values = {c: _stack(batch[c]) for c in used}
+                for name, parts in terms.items():
+                    out[name] = list(sum(values[c] @ m for c, m in parts))
+            else:
+                for name in terms:
+                    out[name] = []
+            yield out
+
+    schema = "part string, mean double, std double, " + ", ".join(f"{c} array<double>" for c in terms)
+    return df.select(*kept, *used).mapInPandas(run, schema)
+
+
+def _orthonormal(gram: np.ndarray) -> np.ndarray:
+    """The matrix that makes columns with these inner products orthonormal; dependent directions are left out."""
+    values, vectors = np.linalg.eigh(gram)
+    good = values > max(values.max(), 0.0) * 1e-13
+    return vectors[:, good] / np.sqrt(values[good])
+
+
+def _iterated_directions(inter: DataFrame, scales: DataFrame, claims: int, rank: int):
+    """Wide part lists: a block Krylov space grown by residuals until each one is small; no part-by-part matrix.
+
+    ``basis`` and its image under the matrix are stored tables with one array a part. Each round adds the residuals of the leading
+    Ritz pairs (block Lanczos with full orthogonalisation); a long basis is cut back to its Ritz vectors.
+    """
+    block = rank + EXTRA_DIRECTIONS
+    names = scales.select(F.col("part").cast("string").alias("part"), "mean", "std")
+    inter = inter.select("claim_id", F.col("part").cast("string").alias("part"), "amount")
+    draws = [(F.pmod(F.xxhash64(F.col("part"), F.lit(i)), F.lit(2_000_003)) / 1_000_001.5 - 1.0) for i in range(block)]
+    fresh = checkpointed(names.withColumn("fresh", F.array(*draws)))
+    if fresh.isEmpty():
+        return names.select("*", *[F.lit(0.0).alias(f"v{i}") for i in range(rank)]), [0.0] * rank
+    table = None
+    for _ in range(MAX_PRODUCTS):
+        for _ in range(2):  # orthogonal to the basis, twice for accuracy
+            if table is not None:
+                both = table.join(fresh.select("part", "fresh"), "part")
+                overlap = _inner(both, "basis", "fresh")
+                fresh = checkpointed(_combined(both, {"fresh": [("fresh", np.eye(overlap.shape[1])), ("basis", -overlap)]}))
+            change = _orthonormal(_inner(fresh, "fresh", "fresh"))
+            if not change.shape[1]:
+                break
+            fresh = checkpointed(_combined(fresh, {"fresh": [("fresh", change)]}))
+        width = change.shape[1]
+        if width:
+            columns = fresh.select("part", "mean", "std", *[F.col("fresh")[i].alias(f"v{i}") for i in range(width)])
+            grown = fresh.join(_multiplied(inter, columns, width), "part")
+            if table is None:
+                table = checkpointed(grown.select("part", "mean", "std", F.col("fresh").alias("basis"), "image"))
+            else:
+                own = grown.select("part", "fresh", F.col("image").alias("more"))
+                wider = table.join(own, "part")
+                table = checkpointed(wider.select("part", "mean", "std", F.concat("basis", "fresh").alias("basis"), F.concat("image", "more").alias("image")))
+        values, vectors = np.linalg.eigh(_symmetric(_inner(table, "basis", "image")))
+        order = np.argsort(values)[::-1]
+        values, vectors = values[order], vectors[:, order]
+        lead = vectors[:, :block]
+        fresh = checkpointed(_combined(table, {"fresh": [("image", lead), ("basis", -lead * values[:block])]}))
+        size = np.sqrt(np.maximum(np.diag(_inner(fresh, "fresh", "fresh")), 0.0))
+        if not width or (size[:rank] <= np.maximum(RESIDUAL * values[: len(size[:rank])], SMALL * values[0])).all():
+            break
+        if vectors.shape[0] > BASIS_BLOCKS * block:
+            short = vectors[:, : 3 * block]
+            table = checkpointed(_combined(table, {"basis": [("basis", short)], "image": [("image", short)]}))
+    else:
+        raise ArithmeticError(f"directions have not settled after {MAX_PRODUCTS} products")
+    kept = np.zeros((vectors.shape[0], rank))
+    kept[:, : min(rank, vectors.shape[1])] = vectors[:, :rank]
+    final = checkpointed(_combined(table, {"v": [("basis", kept)]}))
+    found = np.zeros(rank)
+    found[: min(rank, len(values))] = np.maximum(values[:rank], 0.0)
+    return final.select("part", "mean", "std", *[F.col("v")[i].alias(f"v{i}") for i in range(rank)]), found
 
 
-def _orthonormal(directions: DataFrame, width: int) -> DataFrame:
-    values, vectors = np.linalg.eigh(_products(directions, "v", width))
-    safe = np.where(values > values.max() * 1e-13, values, np.inf)
-    return _rotated(directions, ["part", "mean", "std"], "v", vectors / np.sqrt(safe))
+def _symmetric(matrix: np.ndarray) -> np.ndarray:
+    return (matrix + matrix.T) / 2
 
 
 def svd_project(inter: DataFrame, model: SvdModel) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from partledger.config import DEFAULTS, FEATURES, TRUTH
@@ -12,6 +14,7 @@ from partledger.plans.catalog_tables import CODE, CLAIM, CODES, LABEL, PART, cod
 from partledger.plans.oracle import MASKS, claims, matches, rnd
 from partledger.plans.registry import query
 from partledger.plans.workspace import QUERY_GRID, SCORED_ORDERS_SQL, Workspace
+from partledger.session import checkpointed
 from partledger.sources import files, models
 
 SCORED = SCORED_ORDERS_SQL.format(orders="orders")
@@ -24,18 +27,16 @@ KEY_SQL = r"array_to_string(list_sort(string_split(trim(regexp_replace(lower(x),
 @query(
     "token_sort_ratio",
     matches(
-        """SELECT q.name AS survey_part, e.name AS garage_part, CAST(round_even(200.0 * (len(e.gk) - bit_count(e.v)) /
-           (len(e.gk) + len(e.qk)), 0) AS INT) AS score
-           FROM qk q JOIN edit_pairs e ON e.qk = q.k JOIN cos_best c ON c.survey_part = q.name AND c.garage_part = e.name"""
+        f"""SELECT c.survey_part, c.garage_part, CAST(round_even(200.0 * (len(e.gk) - bit_count(e.v)) /
+            (len(e.gk) + len(e.qk)), 0) AS INT) AS score FROM cos_best c JOIN qk q ON q.name = c.survey_part
+            JOIN (SELECT x AS name, {KEY_SQL} AS k FROM (SELECT name AS x FROM garage_names)) n ON n.name = c.garage_part
+            JOIN edit_pairs e ON e.qk = q.k AND e.gk = n.k WHERE c.matched"""
     ),
 )
 def token_sort_ratio(w: Workspace) -> DataFrame:
     """Edit score of every survey name and its cosine match."""
     pairs = w.cosine.where("matched").select("survey_part", "garage_part")
-    ratio = matching.token_sort_ratio(F.col("survey_part"), F.col("garage_part"))
-    keyed = w.garage_names.withColumn("k", text.token_sort_key(F.col("name")))
-    first = keyed.groupBy("k").agg(F.min("name").alias("garage_part"))
-    return pairs.join(first, "garage_part", "left_semi").withColumn("score", ratio)
+    return pairs.withColumn("score", matching.token_sort_ratio(F.col("survey_part"), F.col("garage_part")))
 
 
 @query("fuzzy_cross_match", matches("SELECT qk AS sort_key, name, " + rnd("ratio", 6) + " AS ratio FROM edit_best"))
@@ -312,53 +313,89 @@ def standardise_parts(w: Workspace) -> DataFrame:
     return settled(recommend.standardise_parts(inter, w.features.count()), {"z": 6})
 
 
-@query("svd_fit")
+@query("svd_fit", "SELECT CAST(unnest(range(0, 10)) AS INT) AS component, TRUE AS unit, TRUE AS orthogonal")
 def svd_fit(w: Workspace) -> DataFrame:
-    return w.svd.components
+    """Inner products of the directions that come out: each of length one, at right angles to the others."""
+    rank = w.svd.rank
+    products = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), (F.col(f"v{i}") * F.col(f"v{j}")).alias("x")) for i in range(rank) for j in range(rank)])
+    sums = w.svd.components.select(F.explode(products).alias("p")).groupBy("p.i", "p.j").agg(F.sum("p.x").alias("x"))
+    far = F.max(F.when(F.col("i") != F.col("j"), F.abs("x")).otherwise(F.lit(0.0))) < 1e-9
+    near = F.max(F.when(F.col("i") == F.col("j"), F.abs(F.col("x") - 1)).otherwise(F.lit(0.0))) < 1e-9
+    return sums.groupBy(F.col("i").alias("component")).agg(near.alias("unit"), far.alias("orthogonal"))
 
 
-@query("svd_project")
+@query("svd_project", claims("SELECT CLAIMNO AS claim_id, CAST(10 AS INT) AS dimensions, TRUE AS finite FROM capped GROUP BY CLAIMNO"))
 def svd_project(w: Workspace) -> DataFrame:
-    return recommend.svd_project(w.interactions, w.svd)
+    vec = F.col("vec")
+    finite = ~F.exists(vec, lambda x: x.isNull() | F.isnan(x))
+    return recommend.svd_project(w.interactions, w.svd).select("claim_id", F.size(vec).alias("dimensions"), finite.alias("finite"))
 
 
-@query("explained_variance")
+@query("explained_variance", "SELECT CAST(unnest(range(0, 10)) AS INT) AS component, TRUE AS falling")
 def explained_variance(w: Workspace) -> DataFrame:
-    rows = [(i, share) for i, share in enumerate(w.svd.explained)]
-    return w.spark.createDataFrame(rows, "component int, explained_variance_ratio double")
+    """Shares of the directions: none below the next, all of them at most the whole."""
+    shares = [*w.svd.explained, 0.0]
+    whole = sum(shares) <= 1 + 1e-9
+    rows = [(i, whole and shares[i] >= shares[i + 1] >= 0) for i in range(len(shares) - 1)]
+    return w.spark.createDataFrame(rows, "component int, falling boolean")
 
 
-@query("claim_similarity")
+@query("claim_similarity", claims("SELECT CLAIMNO AS claim_id, CAST(5 AS BIGINT) AS pairs, TRUE AS agrees FROM capped GROUP BY CLAIMNO"))
 def claim_similarity(w: Workspace) -> DataFrame:
-    """Cosine of every claim and its neighbours, from the coordinates."""
-    return recommend.pair_similarity(w.latent, w.edges.select("claim_id", "other_id"))
+    """Cosine of every claim and its neighbours, computed from the coordinates, against the scores of the search."""
+    again = recommend.pair_similarity(w.latent, w.edges.select("claim_id", "other_id"))
+    found = w.edges.select("claim_id", "other_id", F.col("similarity_score").alias("found"))
+    both = again.join(found, ["claim_id", "other_id"])
+    close = F.max(F.abs(F.col("found") - F.col("similarity_score"))) < 2e-4
+    return both.groupBy("claim_id").agg(F.count(F.lit(1)).alias("pairs"), close.alias("agrees"))
 
 
-@query("recommend_topn")
+@query("recommend_topn", claims("SELECT CLAIMNO AS claim_id, CAST(5 AS BIGINT) AS neighbours, TRUE AS ranked FROM capped GROUP BY CLAIMNO"))
 def recommend_topn(w: Workspace) -> DataFrame:
-    return w.edges.select("claim_id", "other_id", "similarity_score", "rank")
+    """Every claim has five other claims as neighbours, nearest first."""
+    rows = w.edges.groupBy("claim_id").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "similarity_score", "other_id"))).alias("top"), F.count_distinct("other_id").alias("neighbours")
+    )
+    falling = F.aggregate("top", F.struct(F.lit(2.0).alias("last"), F.lit(True).alias("ok")), lambda s, x: F.struct(x["similarity_score"].alias("last"), (s["ok"] & (x["similarity_score"] <= s["last"])).alias("ok")))["ok"]
+    own = F.exists("top", lambda x: x["other_id"] == F.col("claim_id"))
+    return rows.select("claim_id", "neighbours", (falling & ~own).alias("ranked"))
 
 
-@query("recommend_batch")
+@query("recommend_batch", claims(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS claim_id, CASE WHEN c.CLAIMNO IS NULL THEN 'unknown claim' ELSE 'ok' END AS status,
+       CAST(CASE WHEN c.CLAIMNO IS NULL THEN 0 ELSE 5 END AS BIGINT) AS neighbours
+       FROM orders LEFT JOIN (SELECT DISTINCT CLAIMNO FROM capped) c ON c.CLAIMNO = CAST(o_orderkey AS VARCHAR)"""
+))
 def recommend_batch(w: Workspace) -> DataFrame:
     """Requests for every order; orders without claim rows are unknown."""
     requests = w.table("orders").select(F.col("o_orderkey").cast("string").alias("claim_id"))
-    return recommend.recommend_batch(requests, w.edges)
+    found = recommend.recommend_batch(requests, w.edges)
+    return found.groupBy("claim_id", "status").agg(F.count("other_id").alias("neighbours"))
 
 
-@query("recommender_eval")
+@query("recommender_eval", claims(
+    """SELECT count(DISTINCT CLAIMNO) AS num_claims, count(DISTINCT TXT_PARTS_NAME) AS num_parts, TRUE AS sound FROM capped"""
+))
 def recommender_eval(w: Workspace) -> DataFrame:
-    return recommend.evaluate_recommender(w.edges, w.svd)
+    sound = F.col("svd_explained_variance_pct").between(0, 100) & F.col("coverage_pct").between(0, 100) & F.col("avg_top_n_similarity").between(-1, 1)
+    return recommend.evaluate_recommender(w.edges, w.svd).select("num_claims", "num_parts", sound.alias("sound"))
 
 
-@query("claim_pair_similarity")
+@query(
+    "claim_pair_similarity",
+    claims("SELECT CLAIMNO AS claim_id, CAST(5 AS BIGINT) AS neighbours, TRUE AS agrees FROM capped GROUP BY CLAIMNO"),
+)
 def claim_pair_similarity(w: Workspace) -> DataFrame:
     """Nearest claims by the plain amounts per part code, without projection."""
     inter = recommend.interaction_table(w.rows, CODE, weight=merge.FANOUT)
     names = codes_of(inter, "part")
     wide = inter.groupBy("claim_id").pivot("part", names).agg(F.sum("amount"))
     codes = F.array(*[F.coalesce(F.col(c), F.lit(0.0)) for c in names])
-    return recommend.top_similar(wide.select("claim_id", codes.alias("vec"))).drop("score")
+    vectors = checkpointed(wide.select("claim_id", codes.alias("vec")))
+    edges = recommend.top_similar(vectors)
+    again = recommend.pair_similarity(vectors, edges.select("claim_id", "other_id")).withColumnRenamed("similarity_score", "again")
+    close = F.max(F.abs(F.col("again") - F.col("similarity_score"))) < 2e-4
+    return edges.join(again, ["claim_id", "other_id"]).groupBy("claim_id").agg(F.count(F.lit(1)).alias("neighbours"), close.alias("agrees"))
 
 
 @query(
@@ -377,9 +414,15 @@ def embedding_topk(w: Workspace) -> DataFrame:
     return edges.withColumn("rank", F.col("rank").cast("long"))
 
 
-@query("chart_similarity_heatmap")
+@query("chart_similarity_heatmap", "SELECT CAST(225 AS BIGINT) AS tiles, TRUE AS diagonal, TRUE AS bounded")
 def chart_similarity_heatmap(w: Workspace) -> DataFrame:
-    return chartdata.similarity_heatmap(w.latent)
+    tiles = chartdata.similarity_heatmap(w.latent)
+    one = F.col("row_label") != F.col("column_label")
+    return tiles.agg(
+        F.count(F.lit(1)).alias("tiles"),
+        (F.min(F.when(one, F.lit(1.0)).otherwise(F.col("similarity_score"))) > 1 - 1e-9).alias("diagonal"),
+        (F.max(F.abs("similarity_score")) <= 1 + 1e-9).alias("bounded"),
+    )
 
 
 # --- splits, folds, scaling ------------------------------------------------------------------------------
@@ -610,117 +653,178 @@ def model_comparison(w: Workspace) -> DataFrame:
 # --- fraud models ----------------------------------------------------------------------------------------
 
 
-@query("iforest_fit")
+@query("iforest_fit", "SELECT CAST(unnest(range(0, 200)) AS INT) AS tree, TRUE AS binary, TRUE AS bounded")
 def iforest_fit(w: Workspace) -> DataFrame:
-    return w.spark.createDataFrame(w.anomaly.nodes, iforest.NODES)
+    """Every tree: two children to each split, and no more leaves than rows drawn for it."""
+    nodes = w.spark.createDataFrame(w.anomaly.nodes, iforest.NODES)
+    leaves = F.count_if(F.col("feature") < 0)
+    return nodes.groupBy("tree").agg((F.count(F.lit(1)) == 2 * leaves - 1).alias("binary"), (leaves <= w.anomaly.sample).alias("bounded"))
 
 
-@query("iforest_score")
+@query("iforest_score", claims("SELECT CLAIMNO, IS_FRAUD AS truth, TRUE AS sound FROM base"))
 def iforest_score(w: Workspace) -> DataFrame:
-    return iforest.score(w.features, w.anomaly)
+    scored = iforest.score(w.features, w.anomaly)
+    low = F.col("anomaly_score") < 0
+    sound = (low == (F.col("anomaly_label") == -1)) & (low == (F.col("is_fraud") == 1)) & F.col("anomaly_score").between(-1, 1)
+    return scored.select(CLAIM, TRUTH, sound.alias("sound"))
 
 
 def _as_metrics(w: Workspace, section: str, values: dict) -> DataFrame:
     return training.Run({section: values}).table(w.spark)
 
 
-@query("iforest_evaluate")
+@query("iforest_evaluate", claims(
+    f"""SELECT (SELECT count(*) FROM ({_SPLIT}) WHERE split = 'test') AS test_claims, (SELECT count(*) FROM base) AS all_claims,
+        TRUE AS flagged_near_share, TRUE AS complete"""
+))
 def iforest_evaluate(w: Workspace) -> DataFrame:
-    return _as_metrics(w, "iforest", training.isolation_metrics(w.anomaly_scored, w.anomaly.scaler, CLAIM))
+    """Unsupervised measures of the test claims and of all claims."""
+    test = training.isolation_metrics(w.anomaly_scored, w.anomaly.scaler, CLAIM)
+    whole = training.isolation_metrics(checkpointed(iforest.score(w.features, w.anomaly)), w.anomaly.scaler, CLAIM)
+    near = all(5 <= m["fraud_rate_pct"] <= 16 for m in (test, whole))
+    complete = all(m.get(c) is not None for m in (test, whole) for c in ("silhouette", "calinski_harabasz", "avg_anomaly_score", "avg_fraud_amount"))
+    schema = "test_claims long, all_claims long, flagged_near_share boolean, complete boolean"
+    return w.spark.createDataFrame([(test["total_claims"], whole["total_claims"], near, complete)], schema)
 
 
-@query("rf_fit")
+@query("rf_fit", "SELECT CAST(300 AS BIGINT) AS trees, TRUE AS binary, TRUE AS depth_kept, TRUE AS splits_kept, TRUE AS threshold_found")
 def rf_fit(w: Workspace) -> DataFrame:
-    """Size and shape of the published forest."""
-    leaf = F.col("feature") < 0
-    shape = w.forest.nodes.agg(
-        F.count_distinct("tree").alias("trees"),
-        F.count(F.lit(1)).alias("nodes"),
-        F.count_if(leaf).alias("leaves"),
-        F.max("depth").alias("depth"),
-        F.min(F.when(~leaf, F.col("n"))).alias("least_rows_split"),
-    )
-    return shape.withColumn("threshold", F.lit(w.forest.threshold))
-
-
-@query("grid_search")
+    """Shape of the published forest: two children to a split, no node below depth 12, no split of fewer than five rows."""
+    leaf, params = F.col("feature") < 0, w.forest.params
+    trees = F.count_distinct("tree")
+    return w.forest.nodes.agg(
+        trees.alias("trees"),
+        (F.count(F.lit(1)) == 2 * F.count_if(leaf) - trees).alias("binary"),
+        (F.max("depth") <= params.depth).alias("depth_kept"),
+        (F.min(F.when(~leaf, F.col("n"))) >= params.min_split).alias("splits_kept"),
+    ).withColumn("threshold_found", F.lit(0.1 <= w.forest.threshold <= 0.9))
+
+
+@query("grid_search", """SELECT CAST(t AS INT) AS trees, CAST(d AS INT) AS depth, CAST(m AS INT) AS min_split, TRUE AS useful
+    FROM (VALUES (200), (300), (500)) a(t), (VALUES (8), (12), (16), (NULL)) b(d), (VALUES (2), (5), (10)) c(m)""")
 def grid_search(w: Workspace) -> DataFrame:
-    return forest.grid_table(w.spark, forest.grid_search(w.folds, QUERY_GRID))
+    """All points of the published grid, each over 15 folds; useful: a mean F1 above one half."""
+    found = forest.grid_table(w.spark, forest.grid_search(w.folds, QUERY_GRID))
+    return found.select("trees", "depth", "min_split", F.col("mean_f1").between(0.5, 1).alias("useful"))
 
 
-@query("cross_validate")
+@query("cross_validate", """SELECT unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc']) AS metric, CAST(15 AS BIGINT) AS folds, TRUE AS useful""")
 def cross_validate(w: Workspace) -> DataFrame:
-    return forest.cv_summary(w.cv_table)
+    found = forest.cv_summary(w.cv_table)
+    return found.select("metric", "folds", (F.col("mean").between(0.5, 1) & F.col("std").between(0, 0.2)).alias("useful"))
 
 
-@query("rf_predict")
+@query("rf_predict", claims("SELECT CLAIMNO, IS_FRAUD AS truth, TRUE AS sound FROM base"))
 def rf_predict(w: Workspace) -> DataFrame:
-    return forest.score(w.features, w.forest)
+    scored, p = forest.score(w.features, w.forest), F.col("fraud_probability")
+    sound = p.between(0, 1) & ((F.col("is_fraud") == 1) == (p >= w.forest.threshold))
+    return scored.select(CLAIM, TRUTH, sound.alias("sound"))
 
 
-@query("rf_evaluate")
+_PARTS = "section, metric, value IS NOT NULL AS known"
+
+
+@query(
+    "rf_evaluate",
+    """SELECT section, metric, TRUE AS known FROM (VALUES ('forest'), ('forest_all'), ('iforest'), ('iforest_all')) s(section),
+       (VALUES ('accuracy'), ('precision'), ('recall'), ('f1_score')) m(metric) UNION ALL
+       SELECT unnest(['forest_auc', 'forest_all_auc']), 'roc_auc', TRUE UNION ALL
+       SELECT 'folds', unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc']), TRUE UNION ALL
+       SELECT 'importances', """
+    + f"unnest([{', '.join(repr(f) for f in FEATURES)}]), TRUE UNION ALL "
+    + """SELECT 'report', unnest(['Normal', 'Fraud', 'accuracy', 'macro avg', 'weighted avg']), TRUE""",
+)
 def rf_evaluate(w: Workspace) -> DataFrame:
-    return files.metrics_table(
+    """Both models on the test claims and on all claims, fold means, importances and the classification report."""
+    everything = checkpointed(forest.score(w.features, w.forest))
+    flat = checkpointed(iforest.score(w.features, w.anomaly))
+    table = files.metrics_table(
         {
             "forest": evaluate.binary_metrics(w.forest_scored, TRUTH, "is_fraud"),
             "forest_auc": evaluate.roc_auc(w.forest_scored, TRUTH, "fraud_probability"),
+            "forest_all": evaluate.binary_metrics(everything, TRUTH, "is_fraud"),
+            "forest_all_auc": evaluate.roc_auc(everything, TRUTH, "fraud_probability"),
             "iforest": evaluate.binary_metrics(w.anomaly_scored, TRUTH, "is_fraud"),
+            "iforest_all": evaluate.binary_metrics(flat, TRUTH, "is_fraud"),
         }
     )
-
-
-@query("feature_importances")
+    parts = forest.evaluation(w.forest, w.forest_scored)
+    more = {
+        "folds": forest.cv_summary(w.cv_table).select("metric", F.col("mean").cast("string").alias("value")),
+        "importances": parts["importances"].select(F.col("feature").alias("metric"), F.col("importance").cast("string").alias("value")),
+        "report": parts["report"].select(F.col("label").alias("metric"), F.col("f1_score").cast("string").alias("value")),
+    }
+    for section, rows in more.items():
+        table = table.unionByName(rows.withColumn("section", F.lit(section)))
+    return table.selectExpr(*_PARTS.split(", "))
+
+
+@query("feature_importances", f"SELECT unnest([{', '.join(repr(f) for f in FEATURES)}]) AS feature, TRUE AS share")
 def feature_importances(w: Workspace) -> DataFrame:
-    return forest.importances(w.spark, w.forest)
+    """Shares: none negative, together one."""
+    found = forest.importances(w.spark, w.forest)
+    whole = found.agg(F.abs(F.sum("importance") - 1) < 0.001).first()[0]
+    return found.select("feature", (F.lit(whole) & F.col("importance").between(0, 1)).alias("share"))
 
 
-@query("chart_importance_bar")
+@query("chart_importance_bar", f"SELECT unnest([{', '.join(repr(f) for f in FEATURES)}]) AS feature, unnest([{', '.join(repr(f.replace('_', ' ').title()) for f in FEATURES)}]) AS label, TRUE AS bar")
 def chart_importance_bar(w: Workspace) -> DataFrame:
-    return chartdata.importance_bars(forest.importances(w.spark, w.forest))
+    bars = chartdata.importance_bars(forest.importances(w.spark, w.forest))
+    return bars.select("feature", "label", F.col("importance").between(0, 1).alias("bar"))
 
 
-@query("chart_fold_lines")
+@query("chart_fold_lines", """SELECT CAST(n AS INT) AS fold_number, m AS metric, TRUE AS point FROM range(1, 16) a(n),
+    (VALUES ('Accuracy'), ('Precision'), ('Recall'), ('F1 Score'), ('Roc Auc')) b(m)""")
 def chart_fold_lines(w: Workspace) -> DataFrame:
-    return chartdata.fold_lines(w.cv_table)
+    return chartdata.fold_lines(w.cv_table).select("fold_number", "metric", F.col("value").between(0, 1).alias("point"))
 
 
-@query("fold_summary")
+@query("fold_summary", """SELECT unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc']) AS metric, CAST(15 AS BIGINT) AS n, TRUE AS ordered""")
 def fold_summary(w: Workspace) -> DataFrame:
-    return profile.describe_table(w.cv_table, ["value"], ["metric"]).drop("column_name")
+    table = profile.describe_table(w.cv_table, ["value"], ["metric"])
+    quartiles = list(profile.QUARTILES)
+    steps = ["min", *quartiles, "max"]
+    rising = reduce(lambda x, y: x & y, [F.col(a) <= F.col(b) for a, b in zip(steps, steps[1:])])
+    return table.select("metric", "n", (rising & F.col("mean").between(F.col("min"), F.col("max"))).alias("ordered"))
 
 
 def _f1(df: DataFrame) -> float:
     return evaluate.binary_metrics(df, TRUTH, "is_fraud").first()["f1_score"]
 
 
-@query("select_best_model")
+@query("select_best_model", "SELECT TRUE AS consistent, TRUE AS useful")
 def select_best_model(w: Workspace) -> DataFrame:
     a, b = _f1(w.forest_scored), _f1(w.anomaly_scored)
-    return w.spark.createDataFrame(
-        [(training.select_best_model(a, b), a, b)], "best_model string, forest_f1 double, iforest_f1 double"
-    )
+    consistent = training.select_best_model(a, b) == ("forest" if a >= b else "iforest")
+    return w.spark.createDataFrame([(consistent, max(a, b) > 0.5)], "consistent boolean, useful boolean")
 
 
-@query("fraud_predictions")
+@query("fraud_predictions", claims("SELECT CLAIMNO, IS_FRAUD AS truth, TRUE AS decided FROM base"))
 def fraud_predictions(w: Workspace) -> DataFrame:
     best = training.select_best_model(_f1(w.forest_scored), _f1(w.anomaly_scored))
-    return forest.score(w.features, w.forest) if best == "forest" else iforest.score(w.features, w.anomaly)
+    found = forest.score(w.features, w.forest) if best == "forest" else iforest.score(w.features, w.anomaly)
+    return found.select(CLAIM, TRUTH, F.col("is_fraud").isin(0, 1).alias("decided"))
 
 
-@query("score_quotes")
+@query("score_quotes", f"""SELECT o_orderkey AS quote_id, {rnd('o_totalprice', 2)} AS total_amount, CAST(o_custkey % 5 AS BIGINT) AS part_count,
+    {rnd('o_totalprice / greatest(o_custkey % 5, 1)', 4)} AS avg_part_amount, {rnd('ln(1 + o_totalprice)', 6)} AS log_total_amount, TRUE AS decided
+    FROM orders""")
 def score_quotes(w: Workspace) -> DataFrame:
-    return lookups.score_quotes(w.quotes, w.anomaly)
+    scored = lookups.score_quotes(w.quotes, w.anomaly)
+    decided = F.col("status") == F.when(F.col("anomaly_score") < 0, "SUSPICIOUS").otherwise("NORMAL")
+    kept = scored.select("quote_id", "total_amount", "part_count", "avg_part_amount", "log_total_amount", decided.alias("decided"))
+    return settled(kept, {"total_amount": 2, "avg_part_amount": 4, "log_total_amount": 6})
 
 
-@query("save_model")
+@query("save_model", claims(f"SELECT CLAIMNO, CAST(0 AS DOUBLE) AS difference FROM ({_SPLIT}) WHERE split = 'test'"))
 def save_model(w: Workspace) -> DataFrame:
-    """Scores of a saved and reloaded isolation forest next to the original's; the difference is zero."""
+    """Scores of a saved and reloaded isolation forest against the original's."""
     folder = w.scratch()
     models.save_anomaly(w.anomaly, w.spark, folder)
     again = models.load_available(w.spark, folder)[models.ANOMALY]
     first = w.anomaly_scored.select(CLAIM, F.col("anomaly_score").alias("before"))
     second = iforest.score(w.test, again).select(CLAIM, F.col("anomaly_score").alias("after"))
-    return first.join(second, CLAIM).withColumn("difference", F.abs(F.col("before") - F.col("after")))
+    return first.join(second, CLAIM).select(CLAIM, F.abs(F.col("before") - F.col("after")).alias("difference"))
 
 
 @query("load_model", matches("SELECT * FROM cos_best"))
@@ -732,15 +836,16 @@ def load_model(w: Workspace) -> DataFrame:
     return matching.match_cosine(w.survey_names, again.garage, again.model)
 
 
-@query("load_available")
+@query("load_available", "SELECT * FROM (VALUES ('part_matcher', FALSE), ('recommender', TRUE), ('fraud_iforest', FALSE), ('fraud_forest', TRUE)) t(model, available)")
 def load_available(w: Workspace) -> DataFrame:
-    """Which models are there after saving two of four."""
+    """Which models are there after saving two of four; the forest comes back with all its parts."""
     folder = w.scratch()
-    models.save_forest(w.forest, w.spark, folder)
+    models.save_forest(w.forest, w.spark, folder, forest.evaluation(w.forest, w.forest_scored, w.cv_table))
     models.save_recommender(models.Recommender(w.svd, w.edges), folder)
     found = models.load_available(w.spark, folder)
+    whole = {models.FOREST: lambda m: set(m.parts) == {"importances", "report", "folds"} and m.nodes.count() == w.forest.nodes.count()}
     names = (models.MATCHER, models.RECOMMENDER, models.ANOMALY, models.FOREST)
-    return w.spark.createDataFrame([(n, n in found) for n in names], "model string, available boolean")
+    return w.spark.createDataFrame([(n, n in found and whole.get(n, bool)(found[n])) for n in names], "model string, available boolean")
 
 
 @query("report_summary")

@@ -488,12 +488,11 @@ def missing_values(w: Workspace) -> DataFrame:
 @query(
     "duplicate_rows",
     claims(
-        """SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS duplicates FROM
-           (SELECT count(*) AS n FROM s GROUP BY CLAIMNO, TXT_PARTS_NAME, NUM_PART_CODE)"""
+        "SELECT (SELECT count(*) FROM s) - (SELECT count(*) FROM (SELECT DISTINCT * FROM s)) AS duplicates"
     ),
 )
 def duplicate_rows(w: Workspace) -> DataFrame:
-    return profile.duplicate_rows(w.surveyor.select(CLAIM, PART, CODE))
+    return profile.duplicate_rows(w.surveyor)
 
 
 _DESCRIBE = " UNION ALL ".join(
@@ -639,38 +638,53 @@ def chart_amount_hist(w: Workspace) -> DataFrame:
     return settled(bars, {"low": 4, "high": 4, "density": 6, "group_mean": 2})
 
 
+_SIX = FEATURES[:6]
+_LONG = " UNION ALL ".join(f"SELECT '{c}' AS column_name, IS_FRAUD, {rnd(c, 4)} AS v FROM features" for c in _SIX)
+
+
+def _six_features(w: Workspace) -> DataFrame:
+    return settled(w.features.select(LABEL, *_SIX), {c: 4 for c in _SIX})
+
+
 @query(
     "chart_density_hist",
-    f"""WITH src AS (SELECT event_type, value AS v FROM events), h AS ({_HIST.format(by='event_type', bins='40')})
-        SELECT 'value' AS column_name, event_type, bin, {rnd('low', 4)} AS low, {rnd('high', 4)} AS high, n,
-        {rnd('density', 6)} AS density FROM h""",
+    claims(
+        f"""SELECT column_name, IS_FRAUD, bin, {rnd('low', 4)} AS low, {rnd('high', 4)} AS high, n, {rnd('density * 1000000', 4)} AS density FROM h""",
+        src=_LONG,
+        h=_HIST.format(by="column_name, IS_FRAUD", bins="40"),
+    ),
 )
 def chart_density_hist(w: Workspace) -> DataFrame:
-    bars = chartdata.density_histograms(w.table("events"), ["value"], "event_type")
-    return settled(bars, {"low": 4, "high": 4, "density": 6})
+    """Bars of the first six claim features by class; densities in millionths."""
+    bars = chartdata.density_histograms(_six_features(w), _SIX, LABEL)
+    return settled(bars.withColumn("density", F.col("density") * 1_000_000), {"low": 4, "high": 4, "density": 4})
 
 
-_BOX = """SELECT event_type, min(value) FILTER (inside) AS whisker_low, max(value) FILTER (inside) AS whisker_high,
-          count(*) FILTER (NOT inside) AS outliers, any_value(q25) AS q25, any_value(q50) AS q50, any_value(q75) AS q75
-          FROM fenced GROUP BY event_type"""
-_FENCED = """SELECT e.event_type, value, q25, q50, q75,
-             value BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25) AS inside FROM events e JOIN (
-             SELECT event_type, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50,
-             quantile_cont(value, 0.75) AS q75 FROM events GROUP BY 1) q USING (event_type)"""
+_FENCED = {
+    "src": _LONG,
+    "fenced": """SELECT e.*, q25, q50, q75, v BETWEEN q25 - 1.5 * (q75 - q25) AND q75 + 1.5 * (q75 - q25) AS inside FROM src e JOIN (
+                 SELECT column_name, IS_FRAUD, quantile_cont(v, 0.25) AS q25, quantile_cont(v, 0.5) AS q50,
+                 quantile_cont(v, 0.75) AS q75 FROM src GROUP BY ALL) q USING (column_name, IS_FRAUD)""",
+}
 
 
 @query(
     "chart_boxplots",
-    f"""WITH fenced AS ({_FENCED}) SELECT 'value' AS column_name, event_type, {rnd('q25', 4)} AS q25, {rnd('q50', 4)} AS q50,
-        {rnd('q75', 4)} AS q75, whisker_low, whisker_high, outliers FROM ({_BOX})""",
+    claims(
+        f"""SELECT column_name, IS_FRAUD, {rnd('any_value(q25)', 4)} AS q25, {rnd('any_value(q50)', 4)} AS q50,
+            {rnd('any_value(q75)', 4)} AS q75, min(v) FILTER (inside) AS whisker_low, max(v) FILTER (inside) AS whisker_high,
+            count(*) FILTER (NOT inside) AS outliers FROM fenced GROUP BY column_name, IS_FRAUD""",
+        **_FENCED,
+    ),
 )
 def chart_boxplots(w: Workspace) -> DataFrame:
-    return settled(chartdata.boxplots(w.table("events"), ["value"], "event_type"), {"q25": 4, "q50": 4, "q75": 4})
+    """Boxes of the first six claim features by class."""
+    return settled(chartdata.boxplots(_six_features(w), _SIX, LABEL), {"q25": 4, "q50": 4, "q75": 4})
 
 
 @query(
     "chart_boxplot_outliers",
-    f"WITH fenced AS ({_FENCED}) SELECT 'value' AS column_name, event_type, value FROM fenced WHERE NOT inside",
+    claims("SELECT column_name, IS_FRAUD, v AS value FROM fenced WHERE NOT inside", **_FENCED),
 )
 def chart_boxplot_outliers(w: Workspace) -> DataFrame:
-    return chartdata.boxplot_outliers(w.table("events"), ["value"], "event_type")
+    return chartdata.boxplot_outliers(_six_features(w), _SIX, LABEL)

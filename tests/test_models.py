@@ -32,6 +32,15 @@ def test_isolation_forest(spark, normal, far, tmp_path):
     assert len(sizes) == 60 and sizes.max() <= 2 * model.sample
 
 
+def test_every_row_can_be_drawn(spark):
+    """Of 20,000 rows that differ in one value, far more than a pool of trees x sample rows come up as split bounds' neighbours."""
+    df = spark.range(20_000).select(F.col("id").cast("string").alias("CLAIMNO"), *[F.col("id").cast("double").alias(f) for f in FEATURES])
+    small = [iforest.fit(df, trees=4, sample=16, seed=k).nodes for k in range(6)]
+    splits = np.concatenate([n.loc[n["feature"] >= 0, "split"].to_numpy() for n in small])
+    scale = (splits - splits.min()) / (splits.max() - splits.min())
+    assert len(np.unique(splits)) > 200 and np.histogram(scale, 10)[0].min() > 0
+
+
 def test_isolation_forest_needs_rows(spark):
     with pytest.raises(ValueError):
         iforest.fit(blob(spark, 5, 0).where("IS_FRAUD = 9"))

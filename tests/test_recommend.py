@@ -27,17 +27,46 @@ def inter(spark):
     return spark.createDataFrame(rows, "claim_id string, part string, amount double"), rows
 
 
-@pytest.mark.parametrize("limit, rounds", [(2048, 0), (2, 2)])
-def test_projection(inter, limit, rounds):
+@pytest.mark.parametrize("limit", [2048, 2])
+def test_projection(inter, limit):
     df, rows = inter
-    model = recommend.svd_fit(df, 4, max_gram_parts=limit, rounds=rounds)
+    model = recommend.svd_fit(df, 4, max_gram_parts=limit)
     claims, latent, share = dense_reference(rows, 4)
     vecs = recommend.svd_project(df, model).toPandas().set_index("claim_id").loc[claims, "vec"]
     got = np.stack(vecs)
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
-    tolerance = 1e-9 if rounds == 0 else 1e-6
-    assert np.allclose(unit(got) @ unit(got).T, unit(latent) @ unit(latent).T, atol=tolerance)
-    assert np.isclose(sum(model.explained), share, atol=tolerance)
+    assert np.allclose(unit(got) @ unit(got).T, unit(latent) @ unit(latent).T, atol=1e-9)
+    assert np.isclose(sum(model.explained), share, atol=1e-9)
+
+
+def test_wide_and_flat_spectrum(spark):
+    """200 columns of nearly equal strength, without the part-by-part matrix: directions, residuals and neighbours of numpy."""
+    rng = np.random.default_rng(17)
+    rows = [(f"c{c:04d}", f"p{p:03d}", float(np.round(rng.lognormal(3, 1), 2))) for c in range(300) for p in rng.choice(200, 12, replace=False)]
+    df = spark.createDataFrame(rows, "claim_id string, part string, amount double").coalesce(2).cache()
+    k = 10
+    model = recommend.svd_fit(df, k, max_gram_parts=0)
+    claims, latent, share = dense_reference(rows, k)
+    assert np.isclose(sum(model.explained), share, atol=1e-9)
+    found = model.components.toPandas().sort_values("part")
+    assert len(found) == 200
+    v = found[[f"v{i}" for i in range(k)]].to_numpy()
+    assert np.allclose(v.T @ v, np.eye(k), atol=1e-9)
+    parts, x = found["part"].tolist(), np.zeros((len(claims), 200))
+    place, column = {c: i for i, c in enumerate(claims)}, {p: i for i, p in enumerate(parts)}
+    for c, p, amount in rows:
+        x[place[c], column[p]] = amount
+    z = (x - x.mean(axis=0)) / x.std(axis=0)
+    strength = np.array(model.explained) * len(claims) * 200
+    residual = np.linalg.norm(z.T @ (z @ v) - v * strength, axis=0)
+    assert (residual <= 2e-10 * strength).all()
+    edges = recommend.top_similar(recommend.svd_project(df, model)).collect()
+    got = {(r["claim_id"], r["rank"]): r["other_id"] for r in edges}
+    unit = latent / np.linalg.norm(latent, axis=1, keepdims=True)
+    points = unit @ unit.T
+    np.fill_diagonal(points, -2)
+    order = np.argsort(-points, axis=1)[:, :5]
+    assert got == {(claims[i], r + 1): claims[order[i, r]] for i in range(len(claims)) for r in range(5)}
 
 
 def test_one_claim_is_an_error(spark):
