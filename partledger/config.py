@@ -42,6 +42,7 @@ class Settings:
     cosine_threshold: float = 0.15
     ngram_range: tuple[int, int] = (1, 2)
     max_terms: int = 5000
+    synonyms: dict[str, str] | None = None  # words of part names to be replaced before matching
 
     min_support: float = 0.01
     min_confidence: float = 0.1

@@ -8,6 +8,7 @@ Ties go to the smaller garage name (a table has no order of appearance).
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from partledger.config import DEFAULTS
 from partledger.functions.numbers import rounded
 from partledger.functions.similarity import StringBlock, pair_ratios, score
-from partledger.functions.text import clean_text, ngrams, strip_space, token_sort_key, tokens
+from partledger.functions.text import canonical_parts, clean_text, ngrams, strip_space, token_sort_key, tokens
 from partledger.operators.blocks import block_join
 from partledger.session import checkpointed
 
@@ -28,9 +29,10 @@ BOUND_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789 "
 SLACK = 1e-9
 
 
-def distinct_parts(df: DataFrame, part: str) -> DataFrame:
-    """Distinct non-blank names as one column ``name``."""
-    return df.select(F.col(part).alias("name")).where(F.trim("name") != "").distinct()
+def distinct_parts(df: DataFrame, part: str, synonyms: Mapping[str, str] | None = None) -> DataFrame:
+    """Distinct non-blank names as one column ``name``; words with a synonym in their canonical form, if any are given."""
+    name = canonical_parts(F.col(part), synonyms) if synonyms else F.col(part)
+    return df.select(name.alias("name")).where(F.trim("name") != "").distinct()
 
 
 def _cell_count(rows: int, cell_rows: int) -> int:
@@ -365,12 +367,15 @@ def match_batch(
     name: str = "name",
     clean: bool = False,
     cell_rows: int = CELL_ROWS,
+    synonyms: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Look up free part names: ``input, fuzzy_match, fuzzy_score, cosine_match, cosine_score``.
 
-    The input is stripped and lower-cased only; ``clean=True`` cleans it as the garage names were.
+    The input is stripped and lower-cased only; ``clean=True`` cleans it as the garage names were. ``synonyms`` replaces words,
+    as it did in the garage names.
     """
     text = clean_text(F.col(name)) if clean else F.lower(strip_space(F.col(name)))
+    text = canonical_parts(text, synonyms) if synonyms else text
     names = requests.select(F.coalesce(text, F.lit("")).alias("name")).distinct()
     fuzzy = match_fuzzy(names, garage, cell_rows=cell_rows)
     cosine = match_cosine(names, garage, model, cell_rows=cell_rows)

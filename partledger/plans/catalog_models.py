@@ -848,17 +848,30 @@ def load_available(w: Workspace) -> DataFrame:
     return w.spark.createDataFrame([(n, n in found and whole.get(n, bool)(found[n])) for n in names], "model string, available boolean")
 
 
-@query("report_summary")
+@query(
+    "report_summary",
+    """SELECT section, metric, TRUE AS known FROM (VALUES ('dataset', 'total_claims'), ('dataset', 'fraud_rate_pct'),
+         ('matching', 'survey_parts'), ('matching', 'fuzzy_match_rate'), ('matching', 'cosine_match_rate'), ('matching', 'agreement_rate'),
+         ('recommender', 'num_claims'), ('recommender', 'num_parts'), ('recommender', 'svd_explained_variance_pct'),
+         ('recommender', 'coverage_pct'), ('recommender', 'avg_top_n_similarity')) a(section, metric)
+       UNION ALL SELECT section, metric, TRUE FROM (VALUES ('iforest'), ('forest')) b(section),
+         (VALUES ('accuracy'), ('precision'), ('recall'), ('f1_score')) c(metric)
+       UNION ALL SELECT 'cross_validation', unnest(['accuracy', 'precision', 'recall', 'f1_score', 'roc_auc']), TRUE""",
+)
 def report_summary(w: Workspace) -> DataFrame:
-    """The closing report: table sizes, fraud rate and both models' quality."""
+    """The closing report: table sizes, matching, similar claims, both fraud models and the folds."""
     claims_row = w.features.agg(
         F.count(F.lit(1)).alias("total_claims"),
         F.round(F.avg(LABEL) * 100, 1).alias("fraud_rate_pct"),
     )
-    return files.metrics_table(
+    table = files.metrics_table(
         {
             "dataset": claims_row,
+            "matching": matching.match_rates(w.combined),
+            "recommender": recommend.evaluate_recommender(w.edges, w.svd),
             "iforest": evaluate.binary_metrics(w.anomaly_scored, TRUTH, "is_fraud"),
             "forest": evaluate.binary_metrics(w.forest_scored, TRUTH, "is_fraud"),
         }
     )
+    folds = forest.cv_summary(w.cv_table).select(F.lit("cross_validation").alias("section"), "metric", F.col("mean").cast("string").alias("value"))
+    return table.unionByName(folds).selectExpr(*_PARTS.split(", "))

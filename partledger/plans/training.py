@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from partledger.config import DEFAULTS, FEATURES, TRUTH, Settings
+from partledger.functions.columns import resolve_column
 from partledger.operators import baskets, evaluate, features, forest, iforest, matching, merge, profile, recommend, sampling
 from partledger.session import checkpointed, ship_package
 from partledger.sources import files, models
@@ -52,12 +53,16 @@ def run(
     """
     ship_package(spark)
     result = Run()
-    matched = checkpointed(merge.matched_survey(survey, garage, settings.merge_keys))
-    if matched.isEmpty():
+    survey, garage = _resolved(survey, garage, settings, label)
+    merged = merge.merge_claims(survey, garage, settings.merge_keys, settings.amount)
+    if settings.amount in survey.columns:
+        rows, weight = checkpointed(merge.matched_survey(survey, garage, settings.merge_keys)), merge.FANOUT
+    else:  # amounts differ between the garage rows of a survey row, so its fan-out cannot stand for them
+        rows, weight = checkpointed(merged), None
+    if rows.isEmpty():
         raise ValueError("the merge is empty: the two tables share no claim")
-    amount = F.col(settings.amount) <= merge.amount_cap(matched, settings.amount, merge.FANOUT)
-    merged = merge.merge_claims(survey, garage, settings.merge_keys, settings.amount).where(amount)
-    rows, weight = matched.where(amount), merge.FANOUT  # later stages read each survey row once, with its fan-out
+    amount = F.col(settings.amount) <= merge.amount_cap(rows, settings.amount, weight)
+    merged, rows = merged.where(amount), rows.where(amount)  # later stages read each survey row once, with its fan-out
     if settings.sample_size:
         merged = checkpointed(merge.sample_n(merged, settings.sample_size, settings.seed))
         rows, weight = merged, None
@@ -80,9 +85,32 @@ def run(
     return result
 
 
+def _named(df: DataFrame, name: str, *keywords: str) -> DataFrame:
+    """``df`` with the first column that fits a keyword called ``name``; unchanged if there is one of that name, or none."""
+    if name in df.columns:
+        return df
+    for keyword in keywords:
+        try:
+            return df.withColumnRenamed(resolve_column(df, keyword), name)
+        except ValueError:
+            continue
+    return df
+
+
+def _resolved(survey: DataFrame, garage: DataFrame, settings: Settings, label: str) -> tuple[DataFrame, DataFrame]:
+    """Claim, label and amount under their usual names; the amount may be on the garage side only."""
+    survey, garage = (_named(df, settings.claim_id, "CLAIMNO", "CLAIM_NO", "CLAIM_ID") for df in (survey, garage))
+    survey = _named(_named(survey, label, "FRAUD"), settings.amount, "TOTAL_AMOUNT", "AMOUNT")
+    if settings.amount not in survey.columns:
+        garage = _named(garage, settings.amount, "TOTAL_AMOUNT", "AMOUNT")
+        if settings.amount not in garage.columns:
+            raise ValueError(f"no amount column among {survey.columns} and {garage.columns}")
+    return survey, garage
+
+
 def _match(result: Run, survey: DataFrame, garage: DataFrame, out: str, settings: Settings) -> dict:
-    left = checkpointed(matching.distinct_parts(survey, settings.survey_part))
-    right = checkpointed(matching.distinct_parts(garage, settings.garage_part))
+    left = checkpointed(matching.distinct_parts(survey, settings.survey_part, settings.synonyms))
+    right = checkpointed(matching.distinct_parts(garage, settings.garage_part, settings.synonyms))
     if left.isEmpty() or right.isEmpty():
         raise ValueError("cannot match empty part lists")
     model = matching.tfidf_fit(left, right, settings.ngram_range, settings.max_terms)
@@ -110,8 +138,6 @@ def _mine(result: Run, rows: DataFrame, out: str, settings: Settings) -> dict:
 
 
 def _part_column(rows: DataFrame, settings: Settings) -> str:
-    from partledger.functions.columns import resolve_column
-
     return resolve_column(rows, "PART", exclude="CODE", preferred=[settings.survey_part])
 
 

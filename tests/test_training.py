@@ -54,6 +54,31 @@ def test_sampling_run_uses_the_sample(spark, trained, tmp_path):
     assert "forest_f1_score" not in run.metrics["fraud_detection"]
 
 
+def test_columns_of_other_names(spark, trained, tmp_path):
+    """An amount, claim or label under another name; an amount on the garage side only; none at all."""
+    _, _, survey, garage = trained
+    settings = Settings(iso_trees=5, cv_splits=2, cv_repeats=1, sample_size=1500)
+    params = forest.ForestParams(trees=3, depth=3)
+    other = survey.withColumnsRenamed({"TOTAL_AMOUNT": "CLAIM_AMOUNT", "IS_FRAUD": "FRAUD_FLAG"})
+    run = training.run(spark, other, garage, str(tmp_path / "a"), settings, params=params)
+    assert not [s for s, m in run.metrics.items() if "error" in m], run.metrics
+    assert "forest_all_f1_score" in run.metrics["fraud_detection"]
+    run = training.run(spark, survey.drop("TOTAL_AMOUNT"), garage, str(tmp_path / "b"), settings, params=params)
+    assert not [s for s, m in run.metrics.items() if "error" in m], run.metrics
+    with pytest.raises(ValueError):
+        training.run(spark, survey.drop("TOTAL_AMOUNT"), garage.drop("TOTAL_AMOUNT"), str(tmp_path / "c"), settings)
+
+
+def test_grid_search_is_the_normal_path(spark, trained, tmp_path):
+    _, _, survey, garage = trained
+    grid = {"trees": [2, 3], "depth": [2, None], "min_split": [2, 5]}
+    settings = Settings(iso_trees=5, cv_splits=2, cv_repeats=1, grid=grid)
+    run = training.run(spark, survey, garage, str(tmp_path), settings)
+    assert "forest_best_params" in run.metrics["fraud_detection"], run.metrics["fraud_detection"]
+    kept = models.load_available(spark, f"{tmp_path}/models")[models.FOREST]
+    assert set(kept.parts) == {"importances", "report", "folds", "grid"} and kept.parts["grid"].count() == 8
+
+
 def test_missing_file(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         files.read_csv(spark, str(tmp_path / "none.csv"), schemas.GARAGE, "Garage")
