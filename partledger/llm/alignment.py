@@ -9,6 +9,7 @@ numbered inside blocks of documents, so that counting and looking up meets each
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from array import array
 from collections.abc import Iterator
@@ -21,10 +22,13 @@ from pyspark.sql.types import StructField, StructType
 
 from partledger.llm.common import MIX, _power_tables, checkpointed, flat, mixed, slices, start, table
 
+BLOCK_BYTES = 4 << 20  # about so much text is a block
+CACHED_WORDS = 200_000  # that the byte-level tokenizer remembers
+MORE = 0xFFFF
 MEMO_ENTRIES = 2_000_000  # ids and links that a worker remembers; beyond that it forgets all windows and goes on
 BLOCK = (
     "block bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
-    "pairs array<int>, times array<int>, names array<bigint>, docs array<int>"
+    "pairs binary, times binary, names array<bigint>, docs array<int>"
 )
 ADDED = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
@@ -45,6 +49,9 @@ class Pair:
         import tokenizers
 
         self.a = tokenizers.Tokenizer.from_str(byte_level.decode())
+        model = json.loads(byte_level)["model"]
+        merges = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in model["merges"]]
+        self.a.model = tokenizers.models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=CACHED_WORDS)  # the same with more room
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         letters = byte_letters()
@@ -62,7 +69,7 @@ class Pair:
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[tuple[bytes, bytes], int] = {}
+        self.number: dict[bytes, int] = {}
         self.text: list[bytes] = []  # of a window's groups
         self.groups = array("q")
         self.names, self.at = array("q"), array("q", [0])  # the links of all windows, as id pairs
@@ -117,22 +124,29 @@ class Pair:
         _, one, each = np.unique(name, return_index=True, return_inverse=True)
         if not (same_runs(ids_a, first_a, last_a, one[each]) and same_runs(ids_b, first_b, last_b, one[each])):
             one = each = np.arange(len(name))  # two windows of one hash: look every window up
-        found, fresh = np.empty(len(one), np.int64), []
-        bounds = zip(first_a[one].tolist(), last_a[one].tolist(), first_b[one].tolist(), last_b[one].tolist())
-        for k, (p, q, r, s) in enumerate(bounds):
-            key = (ids_a[p:q].tobytes(), ids_b[r:s].tobytes())
-            at = self.number.get(key)
-            if at is None:
-                at = self.number[key] = len(self.number)
+        sides = ((ids_a, first_a[one], last_a[one]), (ids_b, first_b[one], last_b[one]))
+        size_a, size_b = (last - first for _, first, last in sides)
+        end = np.cumsum(size_a + 1 + size_b)
+        start = end - (size_a + 1 + size_b)
+        keys = np.full(end[-1], -1, np.int32)  # both id tuples of each window, with -1 between them
+        for (ids, first, last), at, size in zip(sides, (start, start + size_a + 1), (size_a, size_b)):
+            keys[ranges(at, at + size)] = ids[ranges(first, last)]
+        raw = keys.tobytes()
+        keys = [raw[i:j] for i, j in zip((4 * start).tolist(), (4 * end).tolist())]
+        found = list(map(self.number.get, keys))
+        fresh = []
+        for k in [k for k, at in enumerate(found) if at is None]:
+            known = len(self.number)
+            found[k] = self.number.setdefault(keys[k], known)
+            if len(self.number) > known:
                 fresh.append(k)
-            found[k] = at
         if fresh:
             new = one[fresh]
             runs = []
             for ids, first, last in ((ids_a, first_a[new], last_a[new]), (ids_b, first_b[new], last_b[new])):
                 runs += [ids[ranges(first, last)], last - first]
             self.align(*runs)
-        return found[each]
+        return np.array(found, np.int64)[each]
 
 
 def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -183,7 +197,7 @@ def _block(pair: Pair, texts: list[str | None]) -> tuple[dict[str, list], np.nda
     digests = [""] * count
     if not good:
         none = np.zeros(0, np.int64)
-        empty = pa.array([[]] * count, pa.list_(pa.int32()))
+        empty = pa.array([b""] * count, pa.binary())
         return numbers | {"groups_sha256": digests, "pairs": empty, "times": empty}, none, none
     doc = np.array([rows[n] for n in good])
     each_a, each_b = np.array([len(coded_a[n]) for n in good]), np.array([len(coded_b[n]) for n in good])
@@ -213,11 +227,34 @@ def _block(pair: Pair, texts: list[str | None]) -> tuple[dict[str, list], np.nda
     holder, held = np.divmod(key[fresh], len(names))
     bounds = np.zeros(count + 1, np.int64)
     bounds[doc + 1] = np.bincount(holder, minlength=len(doc))
-    bounds = pa.array(np.cumsum(bounds), pa.int32())
-    lists = {"pairs": pa.ListArray.from_arrays(bounds, pa.array(held, pa.int32())), "times": pa.ListArray.from_arrays(bounds, pa.array(links, pa.int32()))}
+    bounds = np.cumsum(bounds)
+    steps = held - np.append(0, held[:-1])
+    opens = bounds[:-1][np.diff(bounds) > 0]
+    steps[opens] = held[opens]
+    lists = {"pairs": packed(steps, bounds), "times": packed(links, bounds)}
     return numbers | {"groups_sha256": digests} | lists, names, np.bincount(held, minlength=len(names))
 
 
+def packed(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Lists of small whole numbers in two bytes each; a number of ``MORE`` or above takes another two for each ``MORE`` in it."""
+    each = values // MORE + 1
+    out = np.full(each.sum(), MORE, "<u2")
+    ends = np.cumsum(each)
+    out[ends - 1] = values % MORE
+    offsets = 2 * np.append(0, ends)[cuts]
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(out)])
+
+
+def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of ``packed`` lists and where each list begins."""
+    data, offsets = flat(column)
+    parts = np.frombuffer(data.tobytes(), "<u2").astype(np.int64)
+    last = parts != MORE
+    ends = np.flatnonzero(last)
+    total = np.append(0, np.cumsum(parts))[ends + 1]
+    return np.diff(np.append(0, total)), np.append(0, np.cumsum(last))[offsets // 2]
+
+
 _pairs: dict[str, Pair] = {}
 
 
@@ -237,9 +274,9 @@ def _aligned(shared, fields: list[str]):
         from pyspark import TaskContext
 
         pair, block = _pair(shared), TaskContext.get().partitionId() << 32
-        kinds = [pa.int64()] * 5 + [pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32())]
+        kinds = [pa.int64()] * 5 + [pa.string(), pa.binary(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32())]
         for batch in batches:
-            for i, j in slices(flat(batch["text"])[1]):
+            for i, j in slices(flat(batch["text"])[1], BLOCK_BYTES):
                 columns, names, docs = _block(pair, batch["text"][i:j].to_pylist())
                 count = j - i
                 own = [pa.array(np.full(count, block)), *(pa.array(columns[c]) for c in fields), pa.nulls(count, kinds[8]), pa.nulls(count, kinds[9])]
@@ -260,9 +297,9 @@ def _scored(docs: pa.Table, pairs: pa.Table) -> pa.Table:
     count, best = np.zeros(size, np.int64), np.zeros(size, np.int64)
     slot = np.asarray(pairs["slot"])
     count[slot], best[slot] = np.asarray(pairs["count"]), np.asarray(pairs["best"])
-    held = docs["pairs"].combine_chunks()
-    place, times = held.flatten().to_numpy(), docs["times"].combine_chunks().flatten().to_numpy().astype(np.int64)
-    cuts = np.concatenate([[0], np.cumsum(np.asarray(held.value_lengths()))])
+    (steps, cuts), (times, _) = unpacked(docs["pairs"]), unpacked(docs["times"])
+    place = np.cumsum(steps)
+    place -= np.repeat(np.append(0, place)[cuts[:-1]], np.diff(cuts))
     sums = [np.concatenate([[0], np.cumsum(times * x[place])]) for x in (best, count)]
     values = [pa.array(x[cuts[1:]] - x[cuts[:-1]]) for x in sums]
     columns = {c: docs[c] for c in ("row", "n_a", "n_b", "n_groups", "n_links")}

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -96,6 +97,13 @@ def test_windows_of_one_hash_and_forgetting(documents, coders, monkeypatch):
         assert again[0]["groups_sha256"] == plain[0]["groups_sha256"] and again[1].tolist() == plain[1].tolist() and again[2].tolist() == plain[2].tolist()
 
 
+def test_packed_lists():
+    values = np.array([0, 1, 65534, 65535, 65536, 131070, 200_000, 7])
+    cuts = np.array([0, 0, 3, 6, 6, 8])
+    found, again = alignment.unpacked(alignment.packed(values, cuts))
+    assert found.tolist() == values.tolist() and again.tolist() == cuts.tolist()
+
+
 def test_clashing_columns_nulls_and_empty_table(documents):
     frame = documents([(None, "same text", None, None), (1, "same text", None, None), (1, "same text", None, None), (2, None, None, None)])
     frame = frame.withColumns({c: F.lit(f"own {c}") for c in ("block", "slot", "names", "docs", "pairs", "n_a", "N_LINKS")}).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
