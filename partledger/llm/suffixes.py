@@ -24,6 +24,7 @@ from partledger.llm.common import _BYTE, MIX, checkpointed, flat, mixed, parts_f
 LONG = 200  # bytes of a passage that counts
 GRAM = 32  # bytes that name an anchor
 RANGE_ROWS = 10_000  # leaves of the suffix array in a range
+WHOLE = 10  # ranges that one name may fill before its part of the array is cut
 OPEN_ROWS = 20_000  # rows of intervals across a cut that a task gives out at once
 CHUNK = 1 << 16
 
@@ -332,10 +333,10 @@ def _extended_rows(rows: list[tuple]) -> pa.RecordBatch:
 def _tree_reach(leaves: DataFrame, long: int, gram: int, range_rows: int) -> DataFrame:
     """``name, context, left, right``: how far the repeats of each leaf with other leaves reach around its anchor.
 
-    The intervals that count lie inside one name, so names are dealt to ranges as a whole; only a name with more leaves than a
-    range holds has its part of the suffix array cut.
+    The intervals that count lie inside one name, so names are dealt to ranges as a whole; only a name with more leaves than
+    ``WHOLE`` ranges hold has its part of the suffix array cut.
     """
-    hot = checkpointed(leaves.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > range_rows).select("name"))
+    hot = checkpointed(leaves.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > WHOLE * range_rows).select("name"))
     deal = F.pmod(F.xxhash64("name"), F.lit(parts_for(leaves.count(), range_rows))).cast("int")
     whole = leaves.join(hot, "name", "left_anti").select(deal.alias("part"), "name", "context", "right", "left")
     scanned = whole.groupBy("part").applyInArrow(_scan(Ranges([], gram), long, gram), OPEN)

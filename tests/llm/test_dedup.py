@@ -132,7 +132,9 @@ def test_lcp_intervals():
     assert suffixes.lcp_intervals([], 5) == []
 
 
-def test_names_that_fill_more_than_a_range(documents):
+@pytest.mark.parametrize("whole", [1, 10])
+def test_names_that_fill_more_than_a_range(documents, monkeypatch, whole):
+    monkeypatch.setattr(suffixes, "WHOLE", whole)
     draw = random.Random(12)
     say = lambda n: "".join(draw.choices("abcdef ", k=n))
     shared = say(260)
