@@ -10,14 +10,14 @@ from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 from partledger.llm.common import slices, start, table
 
 KNOWN_BYTES = 96 << 20  # about what a worker takes to remember the tokens of pieces; beyond that it forgets them all and goes on
 PIECE_BYTES = 180  # what a remembered piece takes beside its letters and tokens
-QUERY_BYTES = 1 << 18  # about so many bytes of new pieces go into one recursive query
+QUERY_BYTES = 1 << 17  # about so many bytes of new pieces go into one recursive query
 QUERY_MB = 200  # memory of DuckDB; a longer piece gets LONG_BYTES for each of its bytes
 LONG_BYTES = 600
 SHORT_BYTES = 32  # pieces up to here take one contraction a round
@@ -140,11 +140,14 @@ class Coder:
         longest = int(lengths.max())
         if wide := longest * LONG_BYTES > QUERY_MB << 20:
             self.db.execute(f"SET memory_limit = '{longest * LONG_BYTES >> 20}MB'")
-        found = self.db.sql(ENCODE if longest <= SHORT_BYTES else ENCODE_LONG).to_arrow_table().combine_chunks()
+        found = self.db.sql(ENCODE if longest <= SHORT_BYTES else ENCODE_LONG).to_arrow_table().combine_chunks().to_batches()[0]
         if wide:
             self.db.execute(f"SET memory_limit = '{QUERY_MB}MB'")
-        for p, tokens in zip(found["piece"].to_pylist(), found["tokens"]):
-            self._keep(names[p], tokens.values.to_numpy().tolist())
+        sizes = found["tokens"].value_lengths().to_numpy()
+        self.known.update(zip(map(names.__getitem__, found["piece"].to_pylist()), range(len(self.known), len(self.known) + len(sizes))))
+        self.letters += sum(map(len, names))
+        self.at.frombytes((np.cumsum(sizes, dtype=np.int64) + len(self.tokens)).tobytes())
+        self.tokens.frombytes(found["tokens"].flatten().to_numpy().astype(np.int32).tobytes())
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offset of each text."""
