@@ -22,10 +22,10 @@ from pyspark.sql.types import StructField, StructType
 
 from partledger.llm.common import MIX, _power_tables, checkpointed, flat, mixed, slices, start, table
 
-BLOCK_BYTES = 4 << 20  # about so much text is a block
-CACHED_WORDS = 200_000  # that the byte-level tokenizer remembers
+BLOCK_BYTES = 1 << 20  # about so much text is a block
+CACHED_WORDS = 50_000  # that the byte-level tokenizer remembers
 MORE = 0xFFFF
-MEMO_ENTRIES = 2_000_000  # ids and links that a worker remembers; beyond that it forgets all windows and goes on
+MEMO_ENTRIES = 1_000_000  # ids and links that a worker remembers; beyond that it forgets all windows and goes on
 BLOCK = (
     "block bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
     "pairs binary, times binary, names array<bigint>, docs array<int>"
