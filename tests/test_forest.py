@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from partledger.operators import forest, grow, sampling
+from partledger.operators import forest, grow, grow_wide, sampling
 from tests.test_models import blob
 
 
@@ -95,6 +95,39 @@ def test_wide_tables_grow_the_same_trees(spark, monkeypatch):
     assert all(wide[k] == pytest.approx(v) for k, v in near_shares.items())
 
 
+def test_cuts_by_histogram_and_by_sorting():
+    rng = np.random.default_rng(3)
+    slot, code, drawn = rng.integers(0, 3, 4000), rng.integers(0, 40, 4000), rng.integers(1, 9, 4000)
+    bad = rng.integers(0, 2, 4000)
+    counts = (drawn * (1 - bad), drawn * bad)
+    cells = {}
+    for s, c, a, b in zip(slot, code, *counts):
+        old = cells.get(s * 256 + c, (0, 0))
+        cells[s * 256 + c] = (old[0] + a, old[1] + b)
+    for part, slots in ((slice(None), 3), (slice(0, 90), 3)):  # many rows a cell, few
+        key, clean, fraud = grow._by_cell(slot[part], code[part], counts[0][part], counts[1][part], slots)
+        assert (np.diff(key) >= 0).all() and (clean.sum(), fraud.sum()) == (counts[0][part].sum(), counts[1][part].sum())
+        if part == slice(None):
+            assert {int(k): (a, b) for k, a, b in zip(key, clean, fraud)} == cells
+
+
+def test_long_tables_grow_few_trees_at_a_time(spark, monkeypatch):
+    t, rules = table(), grow.Rules(5, 6, 3, 42)
+    assert [len(x) for x in t.bites(np.arange(5))] == [5]
+    rows = stored(spark, t)
+    jobs = grow.jobs_of(rows, 2, 3)[1:3]
+    found = lambda: {(r["job"], r["band"], r["row"]): list(r["shares"]) for r in grow.held_out_shares(rows, jobs, rules, [5], [2, 6], [3]).collect()}
+    whole = found()
+    monkeypatch.setattr(grow, "DRAWS_AT_ONCE", 1300)
+    assert [len(x) for x in t.bites(np.arange(5))] == [2, 2, 1]
+    few = t.grow(jobs[0], np.arange(5), rules)[0]
+    parts = [t.grow(jobs[0], x, rules)[0] for x in t.bites(np.arange(5))]
+    order = np.lexsort((few["node"], few["tree"]))
+    assert sum(len(x["node"]) for x in parts) == len(order)
+    split = found()
+    assert whole.keys() == split.keys() and all(split[k] == pytest.approx(v) for k, v in whole.items())
+
+
 def test_grid_point_equals_its_own_cross_validation(spark):
     folds = sampling.repeated_folds(blob(spark, 150, 40).withColumn("total_amount", F.col("total_amount") + 6 * F.rand(3)), "CLAIMNO", splits=3, repeats=2)
     folds = folds.cache()
@@ -105,6 +138,20 @@ def test_grid_point_equals_its_own_cross_validation(spark):
         assert len(lines) == 6 and np.mean([r["f1_score"] for r in lines]) == pytest.approx(f1)
 
 
+def test_rows_of_a_node_travel_together(spark):
+    t, rules = table(), grow.Rules(4, 6, 3, 42)
+    rows, one = stored(spark, t).coalesce(1), job(t, 0, 1)
+    upper = {(0, k): grow_wide.Upper(splits={1: (0, 9)}, rest={2, 3}) for k in range(4)}
+    found = grow_wide._routed(rows, [one], upper, rules, True).collect()
+    assert len(found) == 8  # two nodes of each tree, not a row for each draw
+    learn, held = t.split(one)
+    for r in found:
+        drawn = grow.bootstrap(t.row[learn], np.array([r["tree"]]), rules.seed)[0]
+        right = t.codes[:, 0] > 9
+        here = right if r["node"] == 3 else ~right
+        assert len(r["learn"]) == 10 * (drawn[here[learn]] > 0).sum() and len(r["held"]) == 18 * here[held].sum()
+
+
 def test_scores_are_the_mean_of_the_leaves(spark, monkeypatch):
     df = blob(spark, 150, 40)
     model = forest.fit(df, params=forest.ForestParams(trees=9, depth=None, min_split=2))
