@@ -59,7 +59,7 @@ def windows_of(data: np.ndarray, offsets: np.ndarray) -> Windows:
     at = (begin[doc] + nth * STRIDE)[:, None] + np.arange(WINDOW)
     real = at < begin[doc + 1][:, None]
     at = np.where(real, place[np.minimum(at, max(0, len(place) - 1))] if len(place) else 0, -1)
-    return Windows((distinct >> np.uint64(64 - 13)).astype(np.int64), gram, gram_at, at.astype(np.int32), doc)
+    return Windows((distinct >> np.uint64(64 - 13)).astype(np.int16), gram, gram_at, at.astype(np.int32), doc)
 
 
 def _grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +81,7 @@ def _grams(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.n
             word.append(owner[ok])
     word_of = np.concatenate(word) if word else np.zeros(0, np.int64)
     order = np.argsort(word_of, kind="stable")
-    gram = np.concatenate(found)[order].astype(np.int64) if found else np.zeros(0, np.int64)
+    gram = np.concatenate(found).astype(np.int16)[order] if found else np.zeros(0, np.int16)
     return gram, np.concatenate([[0], np.cumsum(np.bincount(word_of, minlength=len(size)))])
 
 
@@ -212,6 +212,7 @@ def _some(w: Windows, rows: np.ndarray) -> tuple[Windows, np.ndarray]:
 def _all_windows(data: np.ndarray, offsets: np.ndarray) -> Windows:
     """As ``windows_of``, a run of texts at a time, which takes less memory; a word counts as another in each run."""
     parts = [(a, windows_of(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])) for a, b in slices(offsets)]
+    parts = parts or [(0, windows_of(data, offsets))]
     words = np.cumsum([0, *(len(w.word) for _, w in parts)])
     grams = np.cumsum([0, *(len(w.gram) for _, w in parts)])
     return Windows(
@@ -229,13 +230,17 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7, rounds: int = 8, bat
     At first some windows of a text carry its label; later rounds take a toxic text's highest windows and a clean text's
     highest ones, so the network learns which window decides. A tenth of the texts is kept back to place the cut.
     """
+    return learn(_all_windows(*flat(pa.array(texts, pa.string()))), toxic, seed, rounds, batch, rate)
+
+
+def learn(w: Windows, toxic: np.ndarray, seed: int = 7, rounds: int = 8, batch: int = 512, rate: float = 0.01) -> Network:
+    """``fit`` from the windows of the texts, which need not be in memory any more."""
     net, draw = Network.fresh(seed), np.random.default_rng(seed)
     if len(set(toxic.tolist())) < 2:  # nothing to tell apart: no text is toxic, or every one with words is
         net.p["shift"][:] = -1e9 if toxic.any() else 1e9
         return net
-    w = _all_windows(*flat(pa.array(texts, pa.string())))
-    back = np.zeros(len(texts), bool)
-    back[draw.permutation(len(texts))[: len(texts) // 10]] = True
+    back = np.zeros(len(toxic), bool)
+    back[draw.permutation(len(toxic))[: len(toxic) // 10]] = True
     usable = np.flatnonzero(~back[w.doc])
     label = toxic[w.doc].astype(np.float32)
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
@@ -265,7 +270,7 @@ def fit(texts: list[str], toxic: np.ndarray, seed: int = 7, rounds: int = 8, bat
                 second[k] += 0.001 * (g * g - second[k])
                 slow = rate * (0.3 if r >= rounds - 3 else 1.0)
                 net.p[k] -= slow * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    logits = np.full(len(texts), -np.inf)
+    logits = np.full(len(toxic), -np.inf)
     for i in range(0, len(w.at), 8192):
         rows = np.arange(i, min(i + 8192, len(w.at)))
         np.maximum.at(logits, w.doc[rows], net.forward(*_some(w, rows)))
@@ -329,8 +334,13 @@ def train(docs: DataFrame, labels: DataFrame) -> Network:
 
     With labels of one kind only, or none, or an empty table, ``fit`` says what comes out.
     """
-    rows = labelled_sample(docs, labels).toPandas().sort_values(["doc_id", "text"], na_position="first")
-    return fit(rows["text"].fillna("").tolist(), rows["toxic"].to_numpy(dtype=np.int64))
+    return learn(*_sample_windows(docs, labels))
+
+
+def _sample_windows(docs: DataFrame, labels: DataFrame) -> tuple[Windows, np.ndarray]:
+    """Windows and labels of the sample; its texts are gone when this returns."""
+    rows = labelled_sample(docs, labels).toArrow().sort_by("doc_id")  # one row for an id
+    return _all_windows(*flat(rows["text"])), rows["toxic"].to_numpy().astype(np.int64)
 
 
 def op1_toxicity(spark, sf_dir: str) -> DataFrame:

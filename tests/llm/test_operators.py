@@ -316,3 +316,12 @@ def test_digest_of_ids(documents, tokens):
     ids = coder.encode(["Hello world"])[0].tolist()
     assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
     assert row["decoded_sha256"] == hashlib.sha256(b"Hello world").hexdigest() and row["n_tokens"] == len(ids)
+
+
+def test_training_from_windows_alone():
+    texts, marks = [f"good w{k} day" if k % 2 else f"bad w{k} words" for k in range(30)], np.array([k % 2 for k in range(30)])
+    w = toxicity._all_windows(*toxicity.flat(pa.array(texts)))
+    assert w.word.itemsize == w.gram.itemsize == 2
+    one, other = toxicity.learn(w, marks, rounds=2), toxicity.fit(texts, marks, rounds=2)
+    assert all(np.array_equal(one.p[k], other.p[k]) for k in one.p)
+    assert not len(toxicity._all_windows(*toxicity.flat(pa.array([], pa.string()))).at)
