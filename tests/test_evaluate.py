@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,16 @@ def test_scaler_and_weights(spark):
     assert np.allclose(scaled["a"], (np.array([1, 3, 8]) - 4) / np.std([1, 3, 8])) and (scaled["b"] == 0).all()
     weights = {r["IS_FRAUD"]: r["weight"] for r in sampling.class_weights(df).collect()}
     assert weights == {0: 0.75, 1: 1.5}
+
+
+def test_silhouette_block_count_is_bounded(spark, monkeypatch):
+    """Rows travel a fixed number of times; copies of an id are no distance to themselves."""
+    seen = []
+    real = evaluate.block_join
+    monkeypatch.setattr(evaluate, "block_join", lambda *a: seen.append(a[-1]) or real(*a))
+    monkeypatch.setattr(evaluate, "BLOCK_ROWS", 2)
+    df = spark.range(640).select("id", F.array(F.rand(1), F.rand(2)).alias("v"), (F.col("id") % 2).alias("label"))
+    assert evaluate.silhouette(df, "id", "v", "label").first()["labels"] == 2 and seen == [40]
+    row, own = evaluate._own_places(pd.Series(["a", None, "b"]), pd.Series(["b", "a", None, "a"]))
+    assert sorted(zip(row.tolist(), own.tolist())) == [(0, 1), (0, 3), (1, 2), (2, 0)]
+    assert not len(evaluate._own_places(pd.Series([np.nan]), pd.Series([np.nan]))[0])
