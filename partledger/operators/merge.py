@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, functions as F
 from partledger.config import DEFAULTS
 from partledger.functions.columns import resolve_column
 from partledger.functions.text import clean_text, normalise_key
-from partledger.operators.ordering import exact_quantile, hash_totals
+from partledger.operators.ordering import exact_quantile, hash_order, hash_totals
 from partledger.session import checkpointed
 
 FANOUT = "fanout"
+FEW_ROWS = 100_000  # samples up to here are picked from the first rows of each task
 
 
 def clean_claims(df: DataFrame, part: str, keys: Sequence[str] = DEFAULTS.merge_keys) -> DataFrame:
@@ -115,6 +116,8 @@ def sample_n(df: DataFrame, n: int | None, seed: int = DEFAULTS.seed) -> DataFra
         return df
     image = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+    if n <= FEW_ROWS:  # each distinct row stands for one row at least
+        distinct = checkpointed(distinct.orderBy(hash_order(image, seed)).limit(n))
     ranked = hash_totals(distinct, image, "_copies", seed=seed, name="_upto")
     kept = F.least(F.col("_copies"), F.lit(n) - (F.col("_upto") - F.col("_copies")))
     taken = ranked.withColumn("_kept", kept).where("_kept > 0")

@@ -127,3 +127,13 @@ def test_profile(small):
     assert (top.part_name, top["count"], top.percentage) == ("wing", 4, 44.44)
     codes = {r[0]: r[1] for r in profile.primary_part_distribution(s, "NUM_PART_CODE").collect()}
     assert codes == {"P001": 2, "P002": 2, "P003": 4}
+
+
+def test_small_samples_are_the_same_rows(spark, monkeypatch):
+    df = spark.range(300).selectExpr("id % 90 AS a", "cast(id % 7 AS string) AS b").union(spark.sql("SELECT 5L, 'x' FROM range(40)"))
+    written, real = [], merge.checkpointed
+    monkeypatch.setattr(merge, "checkpointed", lambda x: written.append(real(x)) or written[-1])
+    few = sorted(map(tuple, merge.sample_n(df, 50).collect()))
+    assert [x.count() for x in written] == [50]  # only so many distinct rows are ordered
+    monkeypatch.setattr(merge, "FEW_ROWS", 0)
+    assert sorted(map(tuple, merge.sample_n(df, 50).collect())) == few and len(few) == 50
