@@ -96,3 +96,21 @@ def test_queries_run_the_published_job():
     assert workspace.QUERY_FOREST == forest.ForestParams() and workspace.QUERY_FOREST.trees == 300 and workspace.QUERY_FOREST.depth == 12
     assert len(forest.grid_points(workspace.QUERY_GRID)) == 36 and workspace.QUERY_GRID == DEFAULTS.grid
     assert workspace.QUERY_SPLITS * workspace.QUERY_REPEATS == 15
+
+
+def test_isolation_scores_run_on_all_cores(spark):
+    df = blob(spark, 60, 10).coalesce(1)
+    model = iforest.fit(df, trees=5)
+    assert iforest.raw_scores(df, model).rdd.getNumPartitions() > 1
+    x = np.random.default_rng(1).normal(size=(40, len(model.features)))
+    x[3, 2] = np.nan
+    paths = []
+    for row in x:
+        total = 0.0
+        for _, tree in model.nodes.groupby("tree"):
+            nodes, at = tree.set_index("node"), 0
+            while nodes.loc[at, "feature"] >= 0:
+                at = nodes.loc[at, "left" if row[nodes.loc[at, "feature"]] <= nodes.loc[at, "split"] else "right"]
+            total += nodes.loc[at, "path"]
+        paths.append(total / 5)
+    assert np.allclose(iforest._mean_path(x, iforest._walkable(model.nodes)), paths)
