@@ -134,3 +134,36 @@ def test_no_row_gets_more_than_its_list_from_a_block():
     left = pa.table({"query": [1000, 1001], "unit": [[0.0, 0.0], [1.0, 0.0]], "floor": [-2_000_000_000, 10**9]})
     found = _nearest(6)(left, right)
     assert sorted(found["other"]) == sorted(list(range(6)) * 2)
+
+
+def test_wide_tables_of_pivots_take_little_memory(spark, monkeypatch):
+    """Rows are held against the pivots in slices; all rows of a batch at once took gigabytes in every worker."""
+    sizes = []
+    real = recommend._apart
+    monkeypatch.setattr(recommend, "_apart", lambda c: sizes.append(c.size) or real(c))
+    rng = np.random.default_rng(3)
+    points, centres = rng.normal(size=(3000, 3)), rng.normal(size=(2000, 3))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    home, away = recommend._grouped(points, centres)
+    assert max(len(points[s]) for s in recommend._slices(3000, 2000)) * 2000 <= 2_000_000
+    assert (home == (points @ centres.T).argmax(axis=1)).all() and max(sizes) <= 2_000_000
+
+
+def test_rows_are_sent_to_few_cells(spark, monkeypatch):
+    """Of 20,000 points in six dimensions each row is sent to few other cells, and loses no neighbour."""
+    sent = []
+    real = recommend.block_join
+    monkeypatch.setattr(recommend, "block_join", lambda left, *a: sent.append(left.count()) or real(left, *a))
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(20000, 6))
+    ids = np.arange(20000)
+    df = spark.createDataFrame([(int(i), [float(v) for v in row]) for i, row in zip(ids, x)], "claim_id long, vec array<double>")
+    edges = recommend.top_similar(df.coalesce(4)).toPandas()
+    assert len(sent) == 2 and sent[1] < 4 * len(x)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    by_claim = edges.sort_values("rank").groupby("claim_id")["other_id"].apply(list)
+    for i in range(0, 20000, 500):
+        points = np.rint(u @ u[i] * 1e9)
+        points[i] = -1e18
+        assert by_claim[i] == list(np.lexsort((ids, -points))[:5])
