@@ -10,11 +10,13 @@ import functools
 from dataclasses import dataclass
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from partledger.config import DEFAULTS
 from partledger.session import checkpointed
 
+FEW_ITEMS = 32  # frequent items whose prefix trees are small anyway
+MAX_PAIRS = 16  # pairs a kept row, up to which counting them is cheaper than prefix trees of rare items
 ITEMSETS = "items array<string>, freq bigint, support double"
 METRICS = (
     "antecedent_support",
@@ -35,8 +37,8 @@ def basket_items(rows: DataFrame, item: str, claim: str = DEFAULTS.claim_id) ->
 
 def multi_item(pairs: DataFrame) -> DataFrame:
     """Only the claims with more than one distinct item."""
-    sizes = pairs.groupBy("claim").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return pairs.join(sizes.select("claim"), "claim", "left_semi")
+    size = F.count(F.lit(1)).over(Window.partitionBy("claim"))
+    return pairs.where(F.col("claim").isNotNull()).withColumn("_n", size).where("_n > 1").drop("_n")
 
 
 def collect_baskets(pairs: DataFrame) -> DataFrame:
@@ -61,18 +63,43 @@ def frequent_itemsets(pairs: DataFrame, min_support: float = DEFAULTS.min_suppor
     if baskets == 0:
         return empty
     support = F.col("freq") / F.lit(float(baskets))
-    frequent = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(support >= min_support)
+    frequent = checkpointed(pairs.groupBy("item").agg(F.count(F.lit(1)).alias("freq")).where(F.col("item").isNotNull() & (support >= min_support)))
     kept = pairs.join(frequent.select("item"), "item", "left_semi")
     arrays = checkpointed(kept.groupBy("claim").agg(F.collect_list("item").alias("items")))
+    singles = frequent.select(F.array("item").alias("items"), "freq")
+    if frequent.count() > FEW_ITEMS:
+        arrays = _of_frequent_pairs(arrays, min_support * baskets)
+    else:
+        arrays = arrays.where(F.size("items") > 1)
     rows = arrays.count()
-    if rows == 0:
-        return empty
-    limit = min(1.0, max(0.0, min_support * baskets / rows - 1e-9))
-    model = FPGrowth(itemsCol="items", minSupport=limit).fit(arrays)
-    found = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").cast("long").alias("freq"))
+    found = singles
+    if rows:
+        limit = min(1.0, max(0.0, min_support * baskets / rows - 1e-9))
+        model = FPGrowth(itemsCol="items", minSupport=limit).fit(arrays)
+        larger = model.freqItemsets.where(F.size("items") > 1)
+        found = singles.unionByName(larger.select(F.array_sort("items").alias("items"), F.col("freq").cast("long").alias("freq")))
     return Itemsets(checkpointed(found.withColumn("support", support).where(F.col("support") >= min_support)), baskets)
 
 
+def _of_frequent_pairs(arrays: DataFrame, least: float) -> DataFrame:
+    """Baskets of those items alone that some other item accompanies ``least`` times; no larger itemset has any other.
+
+    Prefix trees of many rare items are as large as the table. Pairs are counted first, if baskets are short enough for that.
+    """
+    size = F.size("items").cast("double")
+    cost = arrays.agg(F.sum(size).alias("items"), F.sum(size * (size - 1) / 2).alias("pairs")).first()
+    if not cost["items"] or cost["pairs"] > MAX_PAIRS * cost["items"]:
+        return arrays.where(F.size("items") > 1)
+    ordered = arrays.select(F.array_sort("items").alias("items"))
+    later = F.transform("items", lambda x, i: F.transform(F.slice("items", i + 2, F.size("items")), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    pairs = ordered.select(F.explode(F.flatten(later)).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("n"))
+    company = checkpointed(pairs.where(F.col("n") >= least - 1e-9 * least).select(F.explode(F.array("a", "b")).alias("item")).distinct())
+    if company.isEmpty():
+        return arrays.limit(0)
+    items = arrays.select("claim", F.explode("items").alias("item")).join(company, "item", "left_semi")
+    return checkpointed(items.groupBy("claim").agg(F.collect_list("item").alias("items")).where(F.size("items") > 1))
+
+
 def association_rules(
     itemsets: DataFrame,
     min_confidence: float = DEFAULTS.min_confidence,

@@ -62,3 +62,36 @@ def test_summary_of_nothing(spark, pairs):
     row = baskets.rules_summary(none.table, baskets.association_rules(none.table)).first()
     assert row["num_rules"] == 0 and row["avg_lift"] is None
     assert baskets.frequent_itemsets(pairs, 0.99).table.count() == 0
+
+
+def test_rare_items_do_not_reach_the_prefix_trees(spark, monkeypatch):
+    """Many items that are frequent alone but never together: only the items of frequent pairs are mined as trees."""
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    claims = {c: set(rng.choice(60, 3, replace=False)) | ({100, 101, 102} if c % 9 == 0 else set()) for c in range(900)}
+    rows = [(f"c{c}", f"i{i:03d}") for c, items in claims.items() for i in items]
+    pairs = spark.createDataFrame([*rows, ("c1", None), (None, "i001")], "claim string, item string").coalesce(2)
+    mined = []
+    real = baskets.FPGrowth.fit
+    monkeypatch.setattr(baskets.FPGrowth, "fit", lambda self, df: mined.append(df.count()) or real(self, df))
+    found = baskets.frequent_itemsets(baskets.multi_item(pairs), 0.02)
+    counts = {}
+    for items in claims.values():
+        for k in range(1, 5):
+            for some in itertools.combinations(sorted(items), k):
+                counts[some] = counts.get(some, 0) + 1
+    wanted = {tuple(f"i{i:03d}" for i in s): n for s, n in counts.items() if n / 900 >= 0.02}
+    assert found.baskets == 900 and len(wanted) > 60
+    assert {tuple(r["items"]): r["freq"] for r in found.table.collect()} == wanted
+    assert mined == [100]
+
+
+def test_claims_of_several_items_take_one_shuffle(spark):
+    pairs = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x"), (None, "x"), (None, "y")], "claim string, item string")
+    kept = baskets.multi_item(pairs)
+    assert {tuple(r) for r in kept.collect()} == {("a", "x"), ("a", None)}
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "SortMergeJoin" not in plan and "HashJoin" not in plan and plan.count("Exchange") == 1
