@@ -84,27 +84,44 @@ def matched_survey(
 
 
 def amount_cap(df: DataFrame, amount: str, weight: str | None = None) -> float:
-    """``max(10 * p99, 100000)``; computed at once, so that the filter is a plain constant."""
+    """``max(10 * p99, 100000)`` of a stored table; computed at once, so that the filter is a plain constant."""
     p99 = exact_quantile(df, amount, DEFAULTS.cap_quantile, weight)
     return max((p99 or 0.0) * DEFAULTS.cap_factor, DEFAULTS.cap_floor)
 
 
-def filter_amount_cap(df: DataFrame, amount: str | None = None, weight: str | None = None) -> DataFrame:
-    """Drop rows above the cap; rows without an amount go as well. No amount column, no filter."""
+def filter_amount_cap(
+    df: DataFrame, amount: str | None = None, weight: str | None = None, counted: DataFrame | None = None
+) -> DataFrame:
+    """Drop rows above the cap; rows without an amount go as well. No amount column, no filter.
+
+    ``counted`` is a stored table with the same amounts, maybe in fewer rows that each stand for ``weight``; the cap comes
+    from it, without it from ``df``, whose amounts are stored for that.
+    """
     if amount is None:
         try:
             amount = resolve_column(df, "AMOUNT", preferred=[DEFAULTS.amount])
         except ValueError:
             return df
-    return df.where(F.col(amount) <= amount_cap(df, amount, weight))
+    if counted is None:
+        counted = checkpointed(df.select(amount, *([weight] if weight else [])))
+    return df.where(F.col(amount) <= amount_cap(counted, amount, weight))
 
 
-def claim_rows(surveyor: DataFrame, garage: DataFrame, amount: str = DEFAULTS.amount) -> DataFrame:
+def claim_rows(
+    surveyor: DataFrame, garage: DataFrame, amount: str = DEFAULTS.amount, keep: Sequence[str] | None = None
+) -> DataFrame:
     """The usual input of features, baskets and similarity: matched, capped survey rows with ``fanout``.
 
-    The join runs once and is stored; the cap is then found and applied on the stored rows.
+    The join runs once and is stored; the cap is then found and applied on the stored rows. ``keep`` names the columns
+    that the caller reads; then no others travel.
     """
-    return filter_amount_cap(checkpointed(matched_survey(surveyor, garage)), amount, FANOUT)
+    if keep is None:
+        rows = checkpointed(matched_survey(surveyor, garage))
+    else:
+        kept = list(dict.fromkeys([*keep, amount]))
+        keys = [k for k in DEFAULTS.merge_keys if k in surveyor.columns and k not in kept]
+        rows = checkpointed(matched_survey(surveyor.select(*keys, *kept), garage).select(*kept, FANOUT))
+    return filter_amount_cap(rows, amount, FANOUT, rows)
 
 
 def sample_n(df: DataFrame, n: int | None, seed: int = DEFAULTS.seed) -> DataFrame:

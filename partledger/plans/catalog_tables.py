@@ -154,7 +154,7 @@ def resolve(w: Workspace) -> DataFrame:
 
 @query("filter_amount_cap", claims(f"SELECT {KEYS}, TXT_PARTS_NAME, TOTAL_AMOUNT, PARTNO FROM capped"))
 def filter_amount_cap(w: Workspace) -> DataFrame:
-    capped = merge.filter_amount_cap(w.merged)
+    capped = w.merged_within_cap()
     return capped.select(*DEFAULTS.merge_keys, PART, AMOUNT, "PARTNO")
 
 
@@ -355,8 +355,8 @@ def merge_null_keys(w: Workspace) -> DataFrame:
 
 @query("attach_labels", claims("SELECT CLAIMNO, part_count, IS_FRAUD FROM features"))
 def attach_labels(w: Workspace) -> DataFrame:
-    plain = features.claim_features(w.rows, merge.FANOUT)
-    return features.attach_labels(plain, w.rows).select(CLAIM, "part_count", LABEL)
+    plain = features.claim_features(w.rows(LABEL), merge.FANOUT)
+    return features.attach_labels(plain, w.rows(LABEL)).select(CLAIM, "part_count", LABEL)
 
 
 @query(
@@ -384,7 +384,7 @@ def lookup_code(w: Workspace) -> DataFrame:
     ),
 )
 def claim_agg(w: Workspace) -> DataFrame:
-    merged = features.claim_features(merge.filter_amount_cap(w.merged))
+    merged = features.claim_features(w.merged_within_cap())
     wanted = merged.select(CLAIM, *FEATURES[:6])
     return settled(wanted, {"total_amount": 2, "avg_part_amount": 4, "std_part_amount": 2})
 
@@ -425,7 +425,7 @@ def codes_of(df: DataFrame, column: str) -> list[str]:
     ),
 )
 def pivot_claim_part(w: Workspace) -> DataFrame:
-    cells = w.rows.withColumn("x", F.col(AMOUNT) * F.col(merge.FANOUT))
+    cells = w.rows(CODE).withColumn("x", F.col(AMOUNT) * F.col(merge.FANOUT))
     codes = codes_of(cells, CODE)
     return settled(cells.groupBy(CLAIM).pivot(CODE, codes).agg(F.sum("x")).fillna(0.0), {c: 2 for c in codes})
 
@@ -470,7 +470,7 @@ def primary_part_distribution(w: Workspace) -> DataFrame:
 )
 def row_counts(w: Workspace) -> DataFrame:
     counts = profile.row_counts({"surveyor": w.surveyor, "garage": w.garage})
-    merged = w.rows.agg(F.sum(merge.FANOUT).alias("row_count")).select(F.lit("merged").alias("table_name"), "row_count")
+    merged = w.rows().agg(F.sum(merge.FANOUT).alias("row_count")).select(F.lit("merged").alias("table_name"), "row_count")
     return counts.unionByName(merged)
 
 
@@ -554,7 +554,7 @@ def rate_by_group(w: Workspace) -> DataFrame:
 
 @query("claim_features", claims(f"SELECT {FEATURE_SQL} FROM features"))
 def claim_features(w: Workspace) -> DataFrame:
-    rows = merge.claim_rows(w.surveyor, w.garage)
+    rows = merge.claim_rows(w.surveyor, w.garage, keep=[CLAIM, LABEL])
     return settled(features.claim_features(rows, merge.FANOUT, label=LABEL), FEATURE_PLACES)
 
 
@@ -573,7 +573,7 @@ _SURVEY_BASE = PARTS["base"].replace("FROM capped", "FROM lines").replace("max(I
 )
 def claim_features_dedupe(w: Workspace) -> DataFrame:
     """Survey rows only, each counted once."""
-    return settled(features.claim_features(w.rows, label=LABEL), FEATURE_PLACES)
+    return settled(features.claim_features(w.rows(LABEL), label=LABEL), FEATURE_PLACES)
 
 
 _QUOTE = """SELECT o_orderkey AS quote_id, o_totalprice AS total_amount, o_custkey % 5 AS part_count,

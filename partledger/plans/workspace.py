@@ -66,20 +66,40 @@ class Workspace:
         return merge.merge_claims(self.surveyor, self.garage)
 
     @cached_property
-    def rows(self) -> DataFrame:
-        return merge.claim_rows(self.surveyor, self.garage)
+    def _stored_rows(self) -> dict[frozenset[str], DataFrame]:
+        return {}
+
+    def rows(self, *columns: str) -> DataFrame:
+        """Matched, capped survey rows: claim, amount, fan-out and ``columns``, from a stored table that has them if there is one."""
+        for stored, rows in self._stored_rows.items():
+            if stored.issuperset(columns):
+                return rows
+        rows = merge.claim_rows(self.surveyor, self.garage, keep=[DEFAULTS.claim_id, *columns])
+        self._stored_rows[frozenset(columns)] = rows
+        return rows
+
+    def merged_within_cap(self) -> DataFrame:
+        """Merged rows up to the amount cap; the cap comes from the survey rows and their fan-out, which stand for the same amounts."""
+        survey = self.surveyor.select(*DEFAULTS.merge_keys, DEFAULTS.amount)
+        counted = merge.matched_survey(survey, self.garage).select(DEFAULTS.amount, merge.FANOUT)
+        return merge.filter_amount_cap(self.merged, DEFAULTS.amount, merge.FANOUT, checkpointed(counted))
 
     @cached_property
     def features(self) -> DataFrame:
-        return checkpointed(features.claim_features(self.rows, merge.FANOUT, label=DEFAULTS.label))
+        return checkpointed(features.claim_features(self.rows(DEFAULTS.label), merge.FANOUT, label=DEFAULTS.label))
 
     @cached_property
     def survey_names(self) -> DataFrame:
-        return checkpointed(matching.distinct_parts(self.surveyor, DEFAULTS.survey_part))
+        return checkpointed(self._names(self.surveyor_raw, DEFAULTS.survey_part))
 
     @cached_property
     def garage_names(self) -> DataFrame:
-        return checkpointed(matching.distinct_parts(self.garage, DEFAULTS.garage_part))
+        return checkpointed(self._names(self.garage_raw, DEFAULTS.garage_part))
+
+    @staticmethod
+    def _names(raw: DataFrame, part: str) -> DataFrame:
+        """Distinct cleaned names; each spelling is cleaned once."""
+        return matching.distinct_parts(merge.clean_claims(raw.select(part).distinct(), part), part)
 
     @cached_property
     def tfidf(self) -> matching.TfidfModel:
@@ -99,7 +119,7 @@ class Workspace:
 
     @cached_property
     def interactions(self) -> DataFrame:
-        return checkpointed(recommend.interaction_table(self.rows, DEFAULTS.survey_part, weight=merge.FANOUT))
+        return checkpointed(recommend.interaction_table(self.rows(DEFAULTS.survey_part), DEFAULTS.survey_part, weight=merge.FANOUT))
 
     @cached_property
     def svd(self) -> recommend.SvdModel:

@@ -137,3 +137,21 @@ def test_small_samples_are_the_same_rows(spark, monkeypatch):
     assert [x.count() for x in written] == [50]  # only so many distinct rows are ordered
     monkeypatch.setattr(merge, "FEW_ROWS", 0)
     assert sorted(map(tuple, merge.sample_n(df, 50).collect())) == few and len(few) == 50
+
+
+def test_claim_rows_carry_only_the_columns_that_are_read(small):
+    s, g = small
+    whole, narrow = merge.claim_rows(s, g), merge.claim_rows(s, g, keep=["CLAIMNO", "IS_FRAUD"])
+    assert narrow.columns == ["CLAIMNO", "IS_FRAUD", "TOTAL_AMOUNT", merge.FANOUT]
+    assert sorted(map(str, narrow.collect())) == sorted(map(str, whole.select(narrow.columns).collect()))
+
+
+def test_cap_of_merged_rows_from_the_fanout(spark):
+    survey = [("A", "V", "1", "x", "P", float(v), 0) for v in range(200)] + [("B", "V", "2", "x", "P", 5e5, 0)]
+    garage = [("A", "V", "1", "n", "g", 1.0)] + [("B", "V", "2", "n", "g", 1.0)] * 9
+    s, g = spark.createDataFrame(survey, schemas.SURVEYOR), spark.createDataFrame(garage, schemas.GARAGE)
+    merged, counted = merge.merge_claims(s, g), merge.matched_survey(s, g).select("TOTAL_AMOUNT", merge.FANOUT).localCheckpoint()
+    plain = merge.filter_amount_cap(merged)
+    found = merge.filter_amount_cap(merged, "TOTAL_AMOUNT", merge.FANOUT, counted)
+    assert plain.count() == found.count() == 209  # without the fan-out the cap would leave out the last claim
+    assert merge.filter_amount_cap(merged, "TOTAL_AMOUNT", None, s).count() == 200
