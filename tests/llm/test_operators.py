@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +51,51 @@ def test_very_long_words_equal_tiktoken(tokens):
     assert coder.decode(ids, offsets) == [t.encode() for t in texts]
 
 
+def test_short_pieces_take_less_time_than_windows_for_each_piece(tokens):
+    tiktoken = pytest.importorskip("tiktoken")
+    coder = bpe.Coder(open(tokens.path("byte_bpe_50k.tiktoken"), "rb").read(), tokens.PATTERN)
+    known = tiktoken.Encoding("own", pat_str=tokens.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    draw = random.Random(8)
+    pieces = sorted({"".join(draw.choices(["e", "t", "on", "in", "th", "re", "é", "中", "q"], k=draw.randint(2, 8))) for _ in range(12_000)})
+    coder._learn(pieces)
+    for piece in pieces[::40]:
+        k = coder.known[piece]
+        assert coder.tokens[coder.at[k] : coder.at[k + 1]].tolist() == known.encode_ordinary(piece)
+    by_piece = """
+WITH RECURSIVE work(round, piece, pos, token) AS (
+  SELECT 0, piece, pos, token FROM symbols
+  UNION ALL
+  SELECT round + 1, piece, pos, token FROM (
+    WITH pairs AS (
+      SELECT w.*, m.merged FROM (
+        SELECT *, lead(token) OVER seq AS follower, lead(pos) OVER seq AS eaten FROM work WINDOW seq AS (PARTITION BY piece ORDER BY pos)) w
+      LEFT JOIN merges m ON m.a = w.token AND m.b = w.follower),
+    lowest AS (
+      SELECT piece, min(merged::BIGINT << 32 | pos) AS pair, arg_min(eaten, merged::BIGINT << 32 | pos) AS eaten
+      FROM pairs WHERE merged IS NOT NULL GROUP BY piece)
+    SELECT round, piece, p.pos, CASE WHEN p.pos = pair & 4294967295 THEN merged ELSE token END AS token
+    FROM pairs p JOIN lowest USING (piece) WHERE p.pos <> lowest.eaten))
+SELECT piece, list(token ORDER BY pos) AS tokens
+FROM work JOIN (SELECT piece, max(round) AS round FROM work GROUP BY piece) USING (piece, round) GROUP BY piece"""
+    found, seconds = [], []
+    for query in (by_piece, bpe.ENCODE):  # both over the pieces that came last
+        took = []
+        for _ in range(5):
+            began = time.process_time()
+            rows = coder.db.sql(query).to_arrow_table()
+            took.append(time.process_time() - began)
+        found.append(dict(zip(rows["piece"].to_pylist(), rows["tokens"].to_pylist())))
+        seconds.append(min(took))
+    assert found[0] == found[1] and len(found[0])
+    assert seconds[1] < 0.9 * seconds[0]
+
+
+def test_decoded_bytes_of_every_token(tokens):
+    coder = bpe.Coder(open(tokens.path("byte_bpe_50k.tiktoken"), "rb").read(), tokens.PATTERN)
+    ids = np.array(list(coder.ranks.values()), np.int32)
+    assert coder.decode(ids, np.arange(len(ids) + 1)) == list(coder.ranks)
+
+
 def test_digests_of_repeated_rows(documents, tokens):
     texts = [None, "", "same text", "same text", "more of it\n" * 40]
     found = bpe.digests(documents([(7, t, None, None) for t in texts]), tokens.path("byte_bpe_50k.tiktoken"), tokens.PATTERN).collect()
