@@ -2,7 +2,8 @@
 
 Both tokenizers encode the whole text. A byte offset where a token of each ends, and where the next token of each is marked as
 starting with a space (or the text ends), is an anchor. Anchors split a document into windows of token ids; documents are
-made of few different windows, so a window's alignment is found once and remembered by its two id tuples. Pairs of linked ids are
+made of few different windows, so a window's alignment is found once and remembered by its two id tuples. So are the byte-level
+ids of a word with the white space before it, where the vocabulary's own rule always cuts. Pairs of linked ids are
 numbered inside blocks of documents, so that counting and looking up meets each pair once a block and not once a document.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from array import array
 from collections.abc import Iterator
 from itertools import chain
@@ -24,6 +26,11 @@ from partledger.llm.common import MIX, _power_tables, checkpointed, flat, mixed,
 
 BLOCK_BYTES = 1 << 20  # about so much text is a block
 CACHED_WORDS = 50_000  # that the byte-level tokenizer remembers
+KNOWN_BYTES = 64 << 20  # about what a worker takes to remember words' byte-level ids; beyond that it forgets them all and goes on
+WORD_BYTES = 200  # what a remembered word takes beside its letters and ids
+# White space, then a word. The rule of byte-level vocabularies starts a token at every white space that follows something else, and
+# does not look back. A cut comes before ASCII white space only, because versions differ in what else they count as white space.
+WORD = re.compile(r"\s*\S+(?:[^\S \t\n\r\f\v]\s*\S*)*|\s+").findall
 MORE = 0xFFFF
 MEMO_ENTRIES = 1_000_000  # ids and links that a worker remembers; beyond that it forgets all windows and goes on
 BLOCK = (
@@ -49,7 +56,12 @@ class Pair:
         import tokenizers
 
         self.a = tokenizers.Tokenizer.from_str(byte_level.decode())
-        model = json.loads(byte_level)["model"]
+        whole = json.loads(byte_level)
+        model, rule = whole["model"], whole.get("pre_tokenizer") or {}
+        plain = not (whole.get("normalizer") or whole.get("truncation") or whole.get("padding") or model.get("dropout"))
+        plain = plain and all(x.get("special") for x in whole.get("added_tokens") or [])
+        own_rule = rule.get("type") == "ByteLevel" and rule.get("use_regex", True) and not rule.get("add_prefix_space", True)
+        self.cut = WORD if plain and own_rule else lambda text: [text]  # what another rule does at white space is not known
         merges = [tuple(x) if isinstance(x, list) else tuple(x.split(" ")) for x in model["merges"]]
         self.a.model = tokenizers.models.BPE(vocab=model["vocab"], merges=merges, cache_capacity=CACHED_WORDS)  # the same with more room
         self.a.encode_special_tokens = True
@@ -67,6 +79,13 @@ class Pair:
         self.size = np.array([len(x) for x in written], np.int64)
         self.place = np.cumsum(self.size) - self.size
         self._forget()
+        self._forget_words()
+
+    def _forget_words(self) -> None:
+        self.words: dict[str, int] = {}  # number of each word; its ids stand in ``tokens`` from ``starts`` on
+        self.tokens, self.starts = array("i"), array("q", [0])
+        self.spelled = bytearray()  # whether the word's ids spell it
+        self.letters = 0
 
     def _forget(self) -> None:
         self.number: dict[bytes, int] = {}
@@ -74,13 +93,34 @@ class Pair:
         self.groups = array("q")
         self.names, self.at = array("q"), array("q", [0])  # the links of all windows, as id pairs
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of a space and each text, and of each text."""
-        coded = self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        return [x.ids for x in coded], self.b.encode(texts, num_threads=1)
-
-    def spells(self, raw: bytes, a: list[int], b: list[int]) -> bool:
-        return b"".join(map(self.bytes_a.__getitem__, a)) == raw == b"".join(map(self.bytes_b.__getitem__, b))
+    def _held(self, more: int = 0) -> int:
+        return (len(self.words) + more) * WORD_BYTES + self.letters + 4 * len(self.tokens)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Byte-level ids of a space and each text, the offset of each text's, and whether the ids spell each of its words."""
+        cut = [self.cut(" " + t) for t in texts]
+        words = list(chain.from_iterable(cut))
+        distinct = set(words)
+        fresh = list(distinct.difference(self.words))
+        if fresh and self._held(len(fresh)) > KNOWN_BYTES:
+            self._forget_words()
+            fresh = list(distinct)
+        for word, coded in zip(fresh, self.a.encode_batch_fast(fresh, add_special_tokens=False)):
+            ids, raw = coded.ids, word.encode("utf-8", "replace")
+            self.words[word] = len(self.words)
+            self.letters += len(raw)
+            self.tokens.extend(ids)
+            self.starts.append(len(self.tokens))
+            self.spelled.append(spells(self.bytes_a, ids, raw))
+        number = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        starts = np.array(self.starts, np.int64)
+        first, last = starts[number], starts[number + 1]
+        ids = np.array(self.tokens, np.int32)[ranges(first, last)]
+        bounds = np.cumsum([0, *map(len, cut)])
+        wrong = np.append(0, np.cumsum(np.array(self.spelled)[number] == 0))[bounds]
+        if self._held() > KNOWN_BYTES:  # a very long text
+            self._forget_words()
+        return ids, np.append(0, np.cumsum(last - first))[bounds], np.diff(wrong) == 0
 
     def align(self, a: np.ndarray, size_a: np.ndarray, b: np.ndarray, size_b: np.ndarray) -> None:
         """Cut windows (runs of ids of the given sizes) where tokens of both end, and remember their groups and links."""
@@ -149,6 +189,10 @@ class Pair:
         return np.array(found, np.int64)[each]
 
 
+def spells(names: list[bytes], ids: list[int], raw: bytes) -> bool:
+    return b"".join(map(names.__getitem__, ids)) == raw
+
+
 def ranges(first: np.ndarray, last: np.ndarray) -> np.ndarray:
     """The numbers of all runs ``first`` … ``last - 1``, one run after the other."""
     size = last - first
@@ -190,9 +234,15 @@ def _block(pair: Pair, texts: list[str | None]) -> tuple[dict[str, list], np.nda
     """Columns of the documents of a block, the block's linked id pairs and in how many of its documents each is."""
     count = len(texts)
     rows = [k for k, t in enumerate(texts) if t]
-    coded_a, coded_b = pair.encode([texts[k] for k in rows])
+    coded_a, bounds_a, spelled = pair.encode([texts[k] for k in rows])
+    coded_b = pair.b.encode([texts[k] for k in rows], num_threads=1)
     raw = [b" " + texts[k].encode("utf-8", "replace") for k in rows]
-    good = [n for n in range(len(rows)) if pair.spells(raw[n], coded_a[n], coded_b[n])]
+    good = [
+        n
+        for n in range(len(rows))
+        if spells(pair.bytes_b, coded_b[n], raw[n])
+        and (spelled[n] or spells(pair.bytes_a, coded_a[bounds_a[n] : bounds_a[n + 1]].tolist(), raw[n]))
+    ]
     numbers = {c: np.zeros(count, np.int64) for c in ("n_a", "n_b", "n_groups", "n_links")}
     digests = [""] * count
     if not good:
@@ -200,8 +250,8 @@ def _block(pair: Pair, texts: list[str | None]) -> tuple[dict[str, list], np.nda
         empty = pa.array([b""] * count, pa.binary())
         return numbers | {"groups_sha256": digests, "pairs": empty, "times": empty}, none, none
     doc = np.array([rows[n] for n in good])
-    each_a, each_b = np.array([len(coded_a[n]) for n in good]), np.array([len(coded_b[n]) for n in good])
-    ids_a = np.fromiter(chain.from_iterable(coded_a[n] for n in good), np.int32, each_a.sum())
+    each_a, each_b = np.diff(bounds_a)[good], np.array([len(coded_b[n]) for n in good])
+    ids_a = coded_a[ranges(bounds_a[:-1][good], bounds_a[1:][good])]
     ids_b = np.fromiter(chain.from_iterable(coded_b[n] for n in good), np.int32, each_b.sum())
     last_a, last_b = _window_ends(pair, ids_a, ids_b, np.cumsum([len(raw[n]) for n in good]))
     first_a, first_b = np.append(0, last_a[:-1]), np.append(0, last_b[:-1])

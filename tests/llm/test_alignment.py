@@ -1,6 +1,7 @@
 """Alignment of two tokenizers against a plain version."""
 
 import hashlib
+import json
 import random
 from collections import Counter
 
@@ -97,6 +98,42 @@ def test_windows_of_one_hash_and_forgetting(documents, coders, monkeypatch):
         assert again[0]["groups_sha256"] == plain[0]["groups_sha256"] and again[1].tolist() == plain[1].tolist() and again[2].tolist() == plain[2].tolist()
 
 
+def test_words_are_encoded_once(coders, monkeypatch):
+    """The byte-level tokenizer meets a word again only after forgetting; ids are those of whole texts, odd white space included."""
+    rng = random.Random(9)
+    letters = "ab'sT .,!\n\t\r\x0b\x0c\x1c\x1d\x1f\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\u200b\ufeff1½é中\x00🙂"
+    texts = ["".join(rng.choices(letters + " " * rng.choice([1, 5, 20]), k=rng.randint(1, 60))) for _ in range(3000)] + corpus()[:80]
+    want = [x.ids for x in coders[0].encode_batch([" " + (t or "") for t in texts], add_special_tokens=False)]
+    pair = alignment.Pair(open(A, "rb").read(), open(B, "rb").read())
+    met, library = [], pair.a
+
+    class Counted:
+        def encode_batch_fast(self, words, **options):
+            met.extend(words)
+            return library.encode_batch_fast(words, **options)
+
+    pair.a = Counted()
+    for limit in (alignment.KNOWN_BYTES, 1 << 16):
+        monkeypatch.setattr(alignment, "KNOWN_BYTES", limit)
+        for part in (texts[:1000], texts[1000:], texts):
+            ids, bounds, spelled = pair.encode(part)
+            first = texts.index(part[0])
+            assert [ids[i:j].tolist() for i, j in zip(bounds, bounds[1:])] == want[first : first + len(part)] and spelled.all()
+        if limit > 1 << 16:
+            assert len(met) == len(set(met)) and sum(map(len, met)) < sum(map(len, texts))
+    assert len(met) > len(set(met))
+
+
+def test_other_rules_take_whole_texts():
+    file = json.loads(open(A).read())
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": file["pre_tokenizer"] | {"use_regex": False}}):
+        pair = alignment.Pair(json.dumps(file | change).encode(), open(B, "rb").read())
+        text = " the cat  sat e\u0301 on\u00a0 it"
+        ids, bounds, spelled = pair.encode([text[1:], text[1:]])
+        want = pair.a.encode(text, add_special_tokens=False).ids
+        assert ids.tolist() == want * 2 and bounds.tolist() == [0, len(want), 2 * len(want)]
+
+
 def test_packed_lists():
     values = np.array([0, 1, 65534, 65535, 65536, 131070, 200_000, 7])
     cuts = np.array([0, 0, 3, 6, 6, 8])
