@@ -78,6 +78,35 @@ def test_longest_level(documents):
     assert got[1] == got[2] >= 160 and 10 <= got[3] <= 160 and got[4] == 0
 
 
+def test_longest_is_exact(documents):
+    """Every doubled length at which some window is in a text of another id, wherever the window begins."""
+    rng = random.Random(12)
+    shared = [[f"s{k}w{i}" for i in range(n)] for k, n in enumerate((4, 5, 8, 9, 16, 17, 31, 32, 40, 64, 64, 64))]
+    rows = []
+    for doc in range(60):
+        words = [f"d{doc}a{i}" for i in range(rng.randint(0, 9))]
+        for k in rng.sample(range(len(shared)), 2):
+            words += shared[k] + [f"d{doc}b{k}"]
+        rows.append((doc, " ".join(words)))
+    rows += [(100, rows[0][1]), (None, rows[5][1] + " tail"), (101, "lonely " * 50)]
+    first = {}
+    for doc, text in rows:
+        first[text] = min(first.get(text, 2**63), 2**63 - 1 if doc is None else doc)
+    split, want, length = {t: t.split() for t in first}, dict.fromkeys(first, 0), 4
+    while length <= 128:
+        holders = {}
+        for t, w in split.items():
+            for i in range(len(w) - length + 1):
+                holders.setdefault(tuple(w[i : i + length]), set()).add(first[t])
+        for t, w in split.items():
+            if any(len(holders[tuple(w[i : i + length])]) > 1 for i in range(len(w) - length + 1)):
+                want[t] = length
+        length *= 2
+    frame = documents([(d, t, None, None) for d, t in rows]).repartition(3)
+    got = [(r["doc_id"], r["text"], r["longest"]) for r in substrings.remove_repeated_windows(frame, 4).collect()]
+    assert order(got) == order([(d, t, want[t]) for d, t in rows])
+
+
 def test_extra_columns_and_empty_table(documents):
     frame = documents([(1, "a b c d", "s", "en"), (2, "z a b c d", None, None)])
     frame = frame.withColumns({c: F.lit(f"own {c}") for c in ("id", "key", "places", "longest", "kept", "a", "b")}).withColumn("m", F.create_map(F.lit("k"), F.lit(1)))
