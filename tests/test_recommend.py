@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pytest
 
@@ -167,3 +169,30 @@ def test_rows_are_sent_to_few_cells(spark, monkeypatch):
         points = np.rint(u @ u[i] * 1e9)
         points[i] = -1e18
         assert by_claim[i] == list(np.lexsort((ids, -points))[:5])
+
+
+def test_neighbours_in_turns_leave_no_files(spark, monkeypatch):
+    """Visits to other cells in several turns give the same neighbours; of all stored tables only the neighbours' stays."""
+    from partledger.session import shared_folder
+
+    rng = np.random.default_rng(11)
+    points = rng.normal(size=(9000, 6))
+    points[100:140] = points[7]
+    df = spark.createDataFrame([(f"c{i:05d}", [float(x) for x in p]) for i, p in enumerate(points)], "claim_id string, vec array<double>").coalesce(4)
+    want = {(r["claim_id"], r["rank"]): r["other_id"] for r in recommend.top_similar(df).collect()}
+    monkeypatch.setattr(recommend, "PASS_VISITS", 1)
+    monkeypatch.setattr(recommend, "CELL_ROWS", 100)
+    monkeypatch.setattr(recommend, "parallelism", lambda _: 12)
+    searched, before = [], set(os.listdir(shared_folder(spark)))
+    joined = recommend.block_join
+    monkeypatch.setattr(recommend, "block_join", lambda *a: searched.append(1) or joined(*a))
+    monkeypatch.setattr(recommend, "PIVOT_ROWS", 250)
+    found = {(r["claim_id"], r["rank"]): r["other_id"] for r in recommend.top_similar(df).collect()}
+    assert found == want and len(found) == 45_000 and len(searched) > 2
+    assert len(set(os.listdir(shared_folder(spark))) - before) == 1
+
+
+def test_pairs_keep_other_columns(spark):
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 1.0])], "claim_id string, vec array<double>")
+    pairs = spark.createDataFrame([("a", "b", 0.25)], "claim_id string, other_id string, found double")
+    assert [tuple(r) for r in recommend.pair_similarity(vectors, pairs).collect()] == [("a", "b", 0.7071, 0.25)]
