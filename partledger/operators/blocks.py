@@ -24,7 +24,12 @@ def parallelism(spark: SparkSession) -> int:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """The rows over all cores: narrow rows lie in few files, and Python work on them costs far more than this shuffle."""
+    """The rows over all cores: narrow rows lie in few files, and Python work on them costs far more than this shuffle.
+
+    Rows that come from no file, such as a few requests, stay where and in the order they are if every core has a part already.
+    """
+    if not df.isStreaming and not df.inputFiles() and df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
+        return df
     return df.repartition(parallelism(df.sparkSession))
 
 
