@@ -111,6 +111,17 @@ def test_cuts_by_histogram_and_by_sorting():
             assert {int(k): (a, b) for k, a, b in zip(key, clean, fraud)} == cells
 
 
+def test_cells_of_packed_draws():
+    """Class and draws in one byte give the cells that separate counts give, by sums and by sorting."""
+    rng = np.random.default_rng(4)
+    slot, code, drawn, bad = rng.integers(0, 3, 4000), rng.integers(0, 128, 4000), rng.integers(1, 10, 4000), rng.integers(0, 2, 4000)
+    draws = np.where(bad == 1, drawn, drawn << 4).astype(np.uint8)
+    for rows, sums in ((slice(None), True), (slice(0, 90), False)):
+        want = grow._by_cell(slot[rows], code[rows], (drawn * (1 - bad))[rows], (drawn * bad)[rows], 3)
+        found = grow._few_or_sums(slot[rows] * 256 + code[rows], draws[rows], grow._DRAWS.take(draws[rows]) if sums else None)
+        assert all(np.array_equal(a, b) for a, b in zip(found, want))
+
+
 def test_long_tables_grow_few_trees_at_a_time(spark, monkeypatch):
     t, rules = table(), grow.Rules(5, 6, 3, 42)
     assert [len(x) for x in t.bites(np.arange(5))] == [5]
